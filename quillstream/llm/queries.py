@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, secrets, simhash, toxicity
+from . import bpe, chat, decontaminate, secrets, sharding, simhash, substring, toxicity
 from .common import prepare, read_table
 
 
@@ -15,6 +15,18 @@ def _ranks() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(read_table(spark, sf_dir, "conversations"))
+
+
+def op2_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(read_table(spark, sf_dir, "documents"))
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.dedup(read_table(spark, sf_dir, "documents"), digest=True)
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 

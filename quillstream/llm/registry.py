@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import chat, sharding
 from . import queries as q
 
 
@@ -10,4 +11,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_chat_formatting": chat.ORACLE, "op2_hilbert_sharding": sharding.ORACLE}
