@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, secrets, sharding, simhash, substring, toxicity
+from . import bpe, chat, decontaminate, media, secrets, sharding, simhash, substring, toxicity, warc
 from .common import prepare, read_table
 
 
@@ -64,6 +64,15 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(_joined(secrets.BASE)(F.col("found")), 256).alias("base_sha256"), _joined(None)(F.col("found")).alias("spans"))
 
 
+def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = media.media(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(read_table(spark, sf_dir, "pages"))
+
+
 def stage_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score as toxic go."""
     model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"))
