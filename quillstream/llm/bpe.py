@@ -81,9 +81,10 @@ class Codec:
         return b"".join(map(self.bytes.__getitem__, ids.tolist()))
 
     def boundaries(self, text: str, last: bool) -> list[int]:
-        """Ends of pre-tokens; without the last two where the text is cut off, as those may go on."""
+        """Ends of pre-tokens, but for the last two where the text is cut off. An end after white
+        space is no place to cut: the pattern looks ahead there."""
         ends = [m.end() for m in self.cut.finditer(text)]
-        return ends if last else ends[:-2]
+        return [e for e in (ends if last else ends[:-2]) if not text[e - 1].isspace()]
 
 
 def ids_bytes(ids: np.ndarray) -> bytes:

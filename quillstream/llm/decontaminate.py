@@ -17,6 +17,7 @@ from __future__ import annotations
 from collections import Counter
 from dataclasses import dataclass
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -173,8 +174,6 @@ def clean(docs: DataFrame, benchmark: DataFrame, s: Settings = Settings(), text_
 
 
 def _hit_items(index: Index):
-    import pandas as pd
-
     @F.pandas_udf("array<string>")
     def hit(texts: pd.Series) -> pd.Series:
         return pd.Series([sorted(index.probe(words_of(t.encode() if t else b""))[1]) for t in texts])
