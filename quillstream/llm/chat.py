@@ -82,7 +82,7 @@ WITH t AS (
 ), c AS (
   SELECT conv_id, list(one ORDER BY pos) AS whole, count(*) AS n FROM t GROUP BY conv_id
 ), u AS (
-  SELECT whole, n, min(conv_id) AS conv_id, count(*) AS n_copies FROM c GROUP BY whole, n
+  SELECT whole, n, nullif(min(coalesce(conv_id, -9223372036854775808)), -9223372036854775808) AS conv_id, count(*) AS n_copies FROM c GROUP BY whole, n
 ), p AS (
   SELECT DISTINCT whole[1:i] AS part FROM (SELECT whole, unnest(range(1, n)) AS i FROM u)
 ), k AS (
