@@ -67,4 +67,5 @@ class Range(InputPartition):
 
 
 def ranges(archives: list[tuple[str, int]], each: int) -> list[Range]:
-    return [Range(p, a, min(size, a + each), size) for p, size in archives for a in range(0, size, each)]
+    """Ranges of the archives' bytes; of none, one empty range, as Spark wants a partition."""
+    return [Range(p, a, min(size, a + each), size) for p, size in archives for a in range(0, size, each)] or [Range("", 0, 0, 0)]

@@ -88,9 +88,17 @@ def id_of(column: str) -> Column:
     return F.nullif(F.col(column), F.lit(NULL_ID))
 
 
+#: A size that Catalyst gives to inputs that it knows nothing of, or to joins of such, is at least this.
+_UNKNOWN = 1 << 55
+
+
 def input_bytes(df: DataFrame) -> int:
-    """Catalyst's estimate of the size of what df reads, for choosing a number of buckets."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """The size of what df reads, for choosing a number of buckets: Catalyst's estimate, or where it has none a count."""
+    found = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if found < _UNKNOWN:
+        return found
+    sizes = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in df.dtypes if kind in ("string", "binary")]
+    return df.agg(F.sum(sum(sizes, F.lit(8).cast("long")))).first()[0] or 0
 
 
 def buckets_for(df: DataFrame, bytes_each: int, least: int = 8, most: int = 1 << 16) -> int:

@@ -198,10 +198,10 @@ class MediaReader(DataSourceReader):
         self.retries, self.rows = int(options.get("retries", s.retries)), options.get("onError", "raise") == "row"
 
     def partitions(self):
-        return ranges(listed(self.options, ".zip"), self.each) or [None]
+        return ranges(listed(self.options, ".zip"), self.each)
 
     def read(self, part) -> Iterator[pa.RecordBatch]:
-        if part is None:
+        if not part.size:
             return
         opened = [self.open(part.path)]
         members = self.again(opened, part.path, lambda f: directory(f, part.size))

@@ -56,16 +56,16 @@ def fingerprint(text: bytes | None, s: Settings = Settings()) -> int:
 
 
 def fingerprints(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(k long, fp long): the key of each row and its fingerprint as a signed integer."""
+    """(k long, h long, fp long): the key of each row, a hash of its text, and its fingerprint as a signed integer."""
     prepare(docs.sparkSession)
 
     def run(batches):
         for b in batches:
             texts = b.column("text").cast(pa.binary()).to_pylist()
             fps = np.fromiter((fingerprint(t, s) for t in texts), U, len(texts)).view(np.int64)
-            yield pa.record_batch({"k": b.column("k"), "fp": pa.array(fps)})
+            yield pa.record_batch({"k": b.column("k"), "h": b.column("h"), "fp": pa.array(fps)})
 
-    return docs.select(key_of(id_col).alias("k"), F.col(text_col).alias("text")).mapInArrow(run, "k long, fp long")
+    return docs.select(key_of(id_col).alias("k"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text")).mapInArrow(run, "k long, h long, fp long")
 
 
 def segments(width: int, distance: int) -> list[tuple[int, int]]:
@@ -188,21 +188,25 @@ def links(fps: DataFrame, s: Settings = Settings()) -> DataFrame:
     return dealt.mapInArrow(verify, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of docs: doc_id, fingerprint (16 hex digits), component_id (smallest reachable doc_id)."""
+def _classes(docs: DataFrame, s: Settings, id_col: str, text_col: str) -> DataFrame:
+    """(k, h, fp, c) of each row: fingerprints(), and the smallest key of its component."""
     table = Table(fingerprints(docs, s, id_col, text_col), "fingerprints").df
     first = table.groupBy("fp").agg(F.min("k").alias("k"))
     root = Table(components(links(first.select("fp"), s)), "roots").df
     named = first.join(root, first.fp == root.node, "left").select("fp", "k", F.coalesce("root", "fp").alias("root"))
     least = named.where("root <> fp").unionByName(named.join(root.select("root").distinct(), "root", "left_semi")).groupBy("root").agg(F.min("k").alias("c"))
     owner = Table(named.join(least.distinct(), "root", "left").select(F.col("fp").alias("f"), F.coalesce("c", "k").alias("c")), "owners").df
-    out = table.join(owner, F.col("fp") == F.col("f"))
+    return table.join(owner, F.col("fp") == F.col("f")).select("k", "h", "fp", "c")
+
+
+def near_duplicates(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of docs: doc_id, fingerprint (16 hex digits), component_id (smallest reachable doc_id)."""
     null = F.lit(NULL_ID)
-    return out.select(F.nullif("k", null).alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.nullif("c", null).alias("component_id"))
+    return _classes(docs, s, id_col, text_col).select(F.nullif("k", null).alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.nullif("c", null).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without all but the smallest id of each component. Rows with that same id all stay."""
-    found = near_duplicates(docs, s, id_col, text_col)
-    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_gone")).distinct()
-    return docs.join(gone, key_of(id_col) == F.col("_gone"), "left_anti")
+    """docs without all but the smallest id of each component. Rows of a component with that same id all stay; rows that
+    repeat an id with other texts are judged apart."""
+    gone = _classes(docs, s, id_col, text_col).where("k <> c").select(F.col("k").alias("_k"), F.col("h").alias("_h")).distinct()
+    return docs.join(gone, (key_of(id_col) == F.col("_k")) & (F.xxhash64(text_col) == F.col("_h")), "left_anti")

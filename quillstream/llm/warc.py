@@ -190,10 +190,10 @@ class WarcReader(DataSourceReader):
         self.each, self.batch, self.retries, self.read_bytes = (int(options.get(k, d)) for k, d in (("rangeBytes", s.range), ("batchBytes", s.batch), ("retries", s.retries), ("readBytes", s.read_bytes)))
 
     def partitions(self):
-        return ranges(listed(self.options, ".warc.gz"), self.each) or [None]
+        return ranges(listed(self.options, ".warc.gz"), self.each)
 
     def read(self, part) -> Iterator[pa.RecordBatch]:
-        if part is None:
+        if not part.size:
             return
         held, size, done, tries = [], 0, part.start, 0
         file = _File(part.path, part.size, self.read_bytes)

@@ -195,17 +195,17 @@ def test_near_duplicates(spark, make_docs, corpus):
     assert simhash.near_duplicates(make_docs([])).count() == 0
 
 
-@pytest.mark.parametrize("small", [4, 2048])
-def test_links_connect_whatever_is_near(spark, small):
+@pytest.mark.parametrize(("small", "near"), [(6, 8), (2048, 60)])
+def test_links_connect_whatever_is_near(spark, small, near):
     rng = random.Random(2)
     seeds = [rng.getrandbits(64) for _ in range(6)]
     prints = {0, *(s for s in seeds)}
     for s in seeds[:3]:
-        prints |= {s ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(1, 5))) for _ in range(60)}
-    prints |= {seeds[3] ^ i for i in range(80)}
+        prints |= {s ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(1, 5))) for _ in range(near)}
+    prints |= {seeds[3] ^ i for i in range(near)}
     signed = [(p - (1 << 64) if p >> 63 else p,) for p in prints]
     found = simhash.links(spark.createDataFrame(signed, "fp long"), simhash.Settings(small=small)).collect()
-    got = slow_components([(p, p) for p in sorted(prints)])
+    got = slow_components(list(enumerate(sorted(prints))))
     parent = {p: p for p in prints}
 
     def top(x):
