@@ -241,7 +241,7 @@ def dedup(docs: DataFrame, s: Settings = Settings(), digest: bool = False, id_co
     buckets = buckets_for(rows, s.bucket_bytes)
     hits = Table(_hit_blocks(rows, s, buckets), "hit-blocks").df
     by_doc = hits.groupBy("k").agg(F.collect_set("block").alias("blocks"))
-    later = Table(_later_windows(rows.join(by_doc, "k").select("k", "text", "blocks"), s, max(8, buckets // 2)), "later-windows").df
+    later = Table(_later_windows(rows.join(by_doc, "k").select("k", "text", "blocks"), s, 2 * buckets), "later-windows").df
     found = later.groupBy("k").agg(F.collect_list(F.struct("tag", "start", "runs")).alias("found"))
 
     def apply(batches):
