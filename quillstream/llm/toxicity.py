@@ -34,6 +34,7 @@ class Settings:
     folds: int = 5
     parts: int = 3  #: cross-fitting of the calibration
     piece: int = 1 << 18  #: characters hashed at a time
+    entries: int = 1 << 20  #: features of sampled texts that the fit works on at a time
 
 
 def grams(text: str, s: Settings) -> Iterator[np.ndarray]:
@@ -177,10 +178,12 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col: st
         for b in batches:
             yield pa.record_batch({"id": b.column("_id").cast(pa.int64()), "label": b.column("label"), "found": pa.array([present(t, s, mask).tobytes() for t in b.column("text").to_pylist()], pa.binary())})
 
-    rows = sorted(chosen.df.mapInArrow(encode, "id long, label int, found binary").collect())  # 2 * per_class rows
+    y, found = [], []
+    for r in sorted(chosen.df.mapInArrow(encode, "id long, label int, found binary").collect()):  # 2 * per_class rows
+        y.append(float(r.label))
+        found.append(np.searchsorted(features, np.frombuffer(r.found, np.uint32)).astype(np.int32))
     chosen.drop()
-    y = np.array([r.label for r in rows], float)
-    found = [np.searchsorted(features, np.frombuffer(r.found, np.uint32)) for r in rows]
+    y = np.array(y)
     scale = ratio[features]
     importance = np.where(y == 1, prior / y.mean(), (1 - prior) / (1 - y.mean()))
     part = np.empty(len(y), int)
@@ -195,18 +198,31 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col: st
 
 
 def solve(found: list[np.ndarray], scale: np.ndarray, y: np.ndarray, importance: np.ndarray, use: np.ndarray, s: Settings) -> np.ndarray:
-    """Regularised logistic regression on scaled features: the weight of each feature's presence, and the bias."""
+    """Regularised logistic regression on scaled features: the weight of each feature's presence, and the bias.
+
+    Works through blocks of texts, so that beyond the features found it needs a few MB.
+    """
     rows = np.flatnonzero(use)
-    col = np.concatenate([found[i] for i in rows]) if len(rows) else np.empty(0, int)
-    row = np.repeat(np.arange(len(rows)), [len(found[i]) for i in rows])
-    x, y, importance = scale[col], y[rows], importance[rows]
+    blocks = np.array_split(rows, max(1, sum(len(found[i]) for i in rows) // s.entries))
+    place = np.cumsum([0, *(len(b) for b in blocks)])
+    y, importance = y[rows], importance[rows]
+
+    def entries(n):
+        own = [found[i] for i in blocks[n]]
+        return np.concatenate([np.empty(0, np.int32), *own]), [len(f) for f in own]
 
     def loss(v):
-        z = np.bincount(row, x * v[col], len(y)) + v[-1]
+        u, z, grad = scale * v[:-1], np.empty(len(rows)), np.zeros(len(scale))
+        for n in range(len(blocks)):
+            col, counts = entries(n)
+            z[place[n] : place[n + 1]] = np.bincount(np.repeat(np.arange(len(counts)), counts), u[col], len(counts)) + v[-1]
         p = 1 / (1 + np.exp(-np.clip(z, -60, 60)))
         e = importance * (p - y)
+        for n in range(len(blocks)):
+            col, counts = entries(n)
+            grad += np.bincount(col, np.repeat(e[place[n] : place[n + 1]], counts), len(scale))
         value = (importance * (np.logaddexp(0, z) - y * z)).sum() + s.l2 / 2 * v[:-1].dot(v[:-1])
-        return value, np.append(np.bincount(col, x * e[row], len(scale)) + s.l2 * v[:-1], e.sum())
+        return value, np.append(scale * grad + s.l2 * v[:-1], e.sum())
 
     v = minimise(loss, np.zeros(len(scale) + 1), s.rounds)
     v[:-1] *= scale
