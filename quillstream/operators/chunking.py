@@ -164,7 +164,8 @@ def chunk(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
                 out.append(done)
             yield pd.Series(out, dtype="object")
 
-    rows = rows.withColumn("_pieces", cut("_texts", "_names", "_kind"))
+    # nondeterministic, so that the optimizer neither copies nor moves the call
+    rows = rows.withColumn("_pieces", cut.asNondeterministic()("_texts", "_names", "_kind"))
     cols = ["file_path", "file_name", "source_url", "source_type", "last_modified", "page_number"]
     flat = rows.select(*cols, F.size("_pieces").alias("total_chunks"), F.posexplode("_pieces").alias("chunk_index", "chunk_content"))
     return records(flat)
