@@ -2,7 +2,7 @@
 
 Counted as part of quillstream.llm. Each stage works on all that its predecessor kept, written as Parquet and read
 again. SQL cannot express the classifier, the fingerprints or the tokenizer, so ORACLE_SQL is None and
-tests/llm/test_pipeline.py holds the result against a brute-force version.
+tests/llm/test_queries.py holds the result against a brute-force version.
 """
 
 from __future__ import annotations

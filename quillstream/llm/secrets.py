@@ -151,7 +151,7 @@ def spans(text: str | None) -> list[tuple[int, int, str]]:
 
 
 def redact(text: str | None) -> str | None:
-    """The text with each stretch of overlapping spans replaced by a label of its first kind."""
+    """The text with each stretch of overlapping spans replaced by a label of its first kind; no label reads as a secret."""
     found = spans(text)
     if not found:
         return text
@@ -163,7 +163,7 @@ def redact(text: str | None) -> str | None:
         else:
             merged.append([a, b, kind])
     for a, b, kind in merged:
-        out += [text[at:a], f"[SECRET:{kind}]"]
+        out += [text[at:a], f"[REDACTED:{kind}]"]
         at = b
     return "".join([*out, text[at:]])
 
