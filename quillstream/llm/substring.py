@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import NULL_ID, Table, buckets_for, key_of, prepare
-from .packing import U, pack_sorted, planes, unpack_sorted, unplanes
+from .packing import U, mix, pack_sorted, planes, unpack_sorted, unplanes
 from .words import hash_runs, hash_words
 
 
@@ -134,8 +134,12 @@ def _hit_blocks(rows: DataFrame, s: Settings, buckets: int) -> DataFrame:
 
 
 def _later_windows(rows: DataFrame, s: Settings, buckets: int) -> DataFrame:
-    """rows: (k, text, blocks). (k, tag, start, runs): starts and run lengths of windows that are not the first of their sequence."""
-    n, m = s.window, s.block
+    """rows: (k, text, blocks). (k, tag, start, runs): starts and run lengths of windows that are not the first of their sequence.
+
+    A text's windows settle in many buckets, so what is found travels back to the texts as packed blocks too, and a row
+    is made for each text alone.
+    """
+    n, m, back = s.window, s.block, max(8, buckets // 2)
 
     def candidates(batches):
         for ids, texts, blocks in _stretches(batches, ("k", "text", "blocks"), s.stretch):
@@ -180,7 +184,7 @@ def _later_windows(rows: DataFrame, s: Settings, buckets: int) -> DataFrame:
         for bucket, parts in _grouped(batches, ("a", "b", "k", "tag", "pos")):
             if bucket < 0:
                 for p in parts:
-                    yield _runs(unplanes(p[2], np.int64), unplanes(p[3], np.uint16), unplanes(p[4], np.uint32))
+                    yield returned(unplanes(p[2], np.int64), unplanes(p[3], np.uint16), unplanes(p[4], np.uint32))
                 continue
             a = np.concatenate([unpack_sorted(p[0]) for p in parts])
             b, k, tag, pos = (np.concatenate([unplanes(p[i], t) for p in parts]) for i, t in ((1, np.uint32), (2, np.int64), (3, np.uint16), (4, np.uint32)))
@@ -189,10 +193,27 @@ def _later_windows(rows: DataFrame, s: Settings, buckets: int) -> DataFrame:
             _, first = _groups(a, b)
             later = (k != k[first]) | (pos != pos[first])
             if later.any():
-                yield _runs(k[later], tag[later], pos[later])
+                yield returned(k[later], tag[later], pos[later])
+
+    def returned(k, tag, pos):
+        part = (mix(k.view(U) ^ (tag.astype(U) << U(40))) % U(back)).astype(np.int64)
+        order = np.lexsort((pos, tag, k, part))
+        cut = np.searchsorted(part[order], np.arange(back + 1))
+        out: dict[str, list] = {c: [] for c in ("bucket", "k", "tag", "pos")}
+        for i, (x, y) in enumerate(zip(cut, cut[1:])):
+            if x < y:
+                at = order[x:y]
+                for c, blob in zip(out, (i, planes(k[at]), planes(tag[at]), planes(pos[at]))):
+                    out[c].append(blob)
+        return _frame(out)
+
+    def gather(batches):
+        for _, parts in _grouped(batches, ("k", "tag", "pos")):
+            yield _runs(*(np.concatenate([unplanes(p[i], t) for p in parts]) for i, t in enumerate((np.int64, np.uint16, np.uint32))))
 
     dealt = rows.mapInArrow(candidates, "bucket int, a binary, b binary, k binary, tag binary, pos binary")
-    return dealt.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(settle, "k long, tag int, start binary, runs binary")
+    settled = dealt.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(settle, "bucket int, k binary, tag binary, pos binary")
+    return settled.repartition(back, "bucket").sortWithinPartitions("bucket").mapInArrow(gather, "k long, tag int, start binary, runs binary")
 
 
 def _groups(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
