@@ -261,9 +261,10 @@ def dedup(docs: DataFrame, s: Settings = Settings(), digest: bool = False, id_co
     rows = docs.select(key_of(id_col).alias("k"), F.col(text_col).cast("string").alias("text"))
     buckets = buckets_for(rows, s.bucket_bytes)
     hits = Table(_hit_blocks(rows, s, buckets), "hit-blocks").df
-    by_doc = hits.groupBy("k").agg(F.collect_set("block").alias("blocks"))
+    # what is found grows with the texts, and packed blocks look smaller than they are: no broadcast, at any size
+    by_doc = hits.groupBy("k").agg(F.collect_set("block").alias("blocks")).hint("merge")
     later = Table(_later_windows(rows.join(by_doc, "k").select("k", "text", "blocks"), s, 2 * buckets), "later-windows").df
-    found = later.groupBy("k").agg(F.collect_list(F.struct("tag", "start", "runs")).alias("found"))
+    found = later.groupBy("k").agg(F.collect_list(F.struct("tag", "start", "runs")).alias("found")).hint("merge")
 
     def apply(batches):
         for b in batches:
