@@ -6,8 +6,6 @@ A word is a run without space, tab or line ends (\\x20, \\x09-\\x0D). Its hash i
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 
 from .packing import U, mix
@@ -28,10 +26,15 @@ def _powers(root: int, n: int) -> np.ndarray:
     return out
 
 
-@lru_cache(maxsize=8)
+_KEPT: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
 def _tables(lane: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    root = _ROOTS[lane]
-    return _powers(root, size), _powers(pow(root, -1, 1 << 64), size)
+    """Powers of the lane's root and of its inverse, at least size of them; the largest so far are kept."""
+    if lane not in _KEPT or len(_KEPT[lane][0]) < size:
+        root = _ROOTS[lane]
+        _KEPT[lane] = _powers(root, size), _powers(pow(root, -1, 1 << 64), size)
+    return _KEPT[lane]
 
 
 def _size(n: int) -> int:
@@ -51,7 +54,7 @@ def _piece(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return start, mix((sums[end] - sums[start]) * inverse[start])
 
 
-def hash_words(texts: list[bytes | None], piece: int = 1 << 21) -> tuple[np.ndarray, np.ndarray]:
+def hash_words(texts: list[bytes | None], piece: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
     """The hashes of all words of the texts, in order, and the number of words of each text."""
     texts = [t or b"" for t in texts]
     data = b" ".join(texts)
