@@ -5,6 +5,9 @@ values; the ranges' cells are ordered by their place on a Hilbert curve, and the
 of equal length. A shard then covers a compact region of all dimensions, so the minima and maxima of its files prune
 on any of them. The law is ``rows``: counts differ by one at most.
 
+The quantiles are exact at every size: values are counted in ranges, and the ranges that hold a wanted rank are split
+again until each is one value, so the driver gets a bounded number of counts a pass.
+
 Strings are quantised by the seven bytes after the common prefix of the smallest and largest value; null is lowest.
 A row's rank is its cell's offset plus its rank in the cell, and a cell is split by a hash of the id, so a cell that
 holds most rows spreads over tasks. Ties are broken by id, size and checksum; rows that repeat differ in slot only.
@@ -25,7 +28,7 @@ from .common import NULL_ID, Table, key_of
 class Settings:
     shards: int = 24
     bits: int = 4
-    accuracy: int = 10_000  #: of the quantiles
+    ranges: int = 1024  #: that an interval of values is split into, for the quantiles
     rows_each: int = 1 << 20  #: rows ranked by one task, about
     strings: tuple[str, ...] = ("source", "lang")
 
@@ -61,6 +64,40 @@ def _common(a: str | None, b: str | None) -> int:
     return next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
 
 
+def quantiles(values: DataFrame, bounds: list[tuple[int, int]], ranks: list[int], ranges: int) -> list[list[int]]:
+    """The values of each column at the ranks (from 1) of its order. values: columns of longs without null, within bounds.
+
+    An interval is (its least and largest value, the rows below it, the ranks in it).
+    """
+    found: list[dict[int, int]] = [{} for _ in bounds]
+    todo = [[(lo, hi, 0, ranks)] if ranks else [] for lo, hi in bounds]
+    while any(todo):
+        cases = []
+        for i, c in enumerate(values.columns):
+            case = F.lit(None)
+            for j, (lo, hi, *_) in enumerate(todo[i]):
+                at = F.expr(f"(`{c}` - {lo}L) div {(hi - lo) // ranges + 1}L")
+                case = F.when(F.col(c).between(lo, hi), F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), at.alias("at"), F.col(c).alias("v"))).otherwise(case)
+            cases += [case] * bool(todo[i])
+        placed = values.select(F.explode(F.array_compact(F.array(*cases))).alias("p"))
+        counted: dict[tuple[int, int], list] = {}
+        # at most ranges x ranks a column
+        for r in placed.groupBy("p.i", "p.j", "p.at").agg(F.count("*").alias("n"), F.min("p.v").alias("lo"), F.max("p.v").alias("hi")).collect():
+            counted.setdefault((r.i, r.j), []).append((r.at, r.n, r.lo, r.hi))
+        again: list[list] = [[] for _ in bounds]
+        for (i, j), groups in counted.items():
+            *_, below, wanted = todo[i][j]
+            for _, n, lo, hi in sorted(groups):
+                mine = [k for k in wanted if below < k <= below + n]
+                if mine and lo == hi:
+                    found[i] |= dict.fromkeys(mine, lo)
+                elif mine:
+                    again[i].append((lo, hi, below, mine))
+                below += n
+        todo = again
+    return [[f[k] for k in ranks] for f in found]
+
+
 def shard(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, size, text_crc32, law, shard, slot, grown_shard (null), curve."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -70,14 +107,15 @@ def shard(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", tex
     )
     meta = Table(meta, "shard-meta").df
     names = range(len(s.strings))
-    ends = meta.agg(F.count("*").alias("n"), *(f(f"d{i}").alias(f"{w}{i}") for i in names for w, f in (("lo", F.min), ("hi", F.max)))).first()
+    ends = meta.agg(F.count("*").alias("n"), F.max("bytes").alias("most"), *(f(f"d{i}").alias(f"{w}{i}") for i in names for w, f in (("lo", F.min), ("hi", F.max)))).first()
     codes = [_code(F.col(f"d{i}"), _common(ends[f"lo{i}"], ends[f"hi{i}"])) for i in names] + [F.col("bytes")]
-    ways = [i / (1 << s.bits) for i in range(1, 1 << s.bits)]
-    cuts = meta.agg(*(F.percentile_approx(c, ways, s.accuracy).alias(f"c{i}") for i, c in enumerate(codes))).first()
+    top = 1 << s.bits
+    ranks = [-(-i * ends.n // top) for i in range(1, top)] if ends.n else []
+    cuts = quantiles(meta.select(*(c.alias(f"c{i}") for i, c in enumerate(codes))), [*((-1, (1 << 56) - 1) for _ in names), (0, ends.most)], ranks, s.ranges)
     dims = len(codes)
     cell = F.lit(0)
     for i, c in enumerate(codes):
-        place = sum(((c > cut).cast("int") for cut in cuts[i] or []), F.lit(0))
+        place = sum(((c > cut).cast("int") for cut in cuts[i]), F.lit(0))
         cell = cell * (1 << s.bits) + place
     split = max(64, ends.n // (4 * s.rows_each))
     part = F.conv(F.substring(F.md5(F.col("k").cast("string").cast("binary")), 1, 8), 16, 10).cast("long") % split
