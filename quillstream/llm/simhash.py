@@ -188,25 +188,34 @@ def links(fps: DataFrame, s: Settings = Settings()) -> DataFrame:
     return dealt.mapInArrow(verify, "a long, b long").distinct()
 
 
-def _classes(docs: DataFrame, s: Settings, id_col: str, text_col: str) -> DataFrame:
-    """(k, h, fp, c) of each row: fingerprints(), and the smallest key of its component."""
+def _classes(docs: DataFrame, s: Settings, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(k, h, fp, c, ch) of each row: fingerprints(), and the smallest key of its component with that key's smallest
+    text hash. Also the table of fingerprints()."""
     table = Table(fingerprints(docs, s, id_col, text_col), "fingerprints").df
-    first = table.groupBy("fp").agg(F.min("k").alias("k"))
+    first = table.groupBy("fp").agg(F.min(F.struct("k", "h")).alias("k"))
     root = Table(components(links(first.select("fp"), s)), "roots").df
     named = first.join(root, first.fp == root.node, "left").select("fp", "k", F.coalesce("root", "fp").alias("root"))
     least = named.where("root <> fp").unionByName(named.join(root.select("root").distinct(), "root", "left_semi")).groupBy("root").agg(F.min("k").alias("c"))
     owner = Table(named.join(least.distinct(), "root", "left").select(F.col("fp").alias("f"), F.coalesce("c", "k").alias("c")), "owners").df
-    return table.join(owner, F.col("fp") == F.col("f")).select("k", "h", "fp", "c")
+    return table.join(owner, F.col("fp") == F.col("f")).select("k", "h", "fp", F.col("c.k").alias("c"), F.col("c.h").alias("ch")), table
 
 
 def near_duplicates(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, fingerprint (16 hex digits), component_id (smallest reachable doc_id)."""
     null = F.lit(NULL_ID)
-    return _classes(docs, s, id_col, text_col).select(F.nullif("k", null).alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.nullif("c", null).alias("component_id"))
+    return _classes(docs, s, id_col, text_col)[0].select(F.nullif("k", null).alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.nullif("c", null).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without all but the smallest id of each component. Rows of a component with that same id all stay; rows that
-    repeat an id with other texts are judged apart."""
-    gone = _classes(docs, s, id_col, text_col).where("k <> c").select(F.col("k").alias("_k"), F.col("h").alias("_h")).distinct()
-    return docs.join(gone, (key_of(id_col) == F.col("_k")) & (F.xxhash64(text_col) == F.col("_h")), "left_anti")
+    """docs with one row of each component: of its smallest id, the smallest hash of a text, and the smallest of the rows
+    that repeat both. Rows that repeat an id with other texts are judged apart."""
+    classes, table = _classes(docs, s, id_col, text_col)
+    named = [F.col("k").alias("_k"), F.col("h").alias("_h")]
+    same = (key_of(id_col) == F.col("_k")) & (F.xxhash64(text_col) == F.col("_h"))
+    gone = classes.where("k <> c or h <> ch").select(*named).distinct()
+    kept = docs.join(gone, same, "left_anti")
+    repeats = Table(table.groupBy("k", "h").agg(F.count("*").alias("n")).where("n > 1").select(*named), "repeats").df
+    if repeats.isEmpty():
+        return kept
+    one = kept.join(repeats, same, "left_semi").groupBy(key_of(id_col).alias("_k"), F.xxhash64(text_col).alias("_h")).agg(F.min(F.struct(*(F.col(f"`{c}`") for c in docs.columns))).alias("_row"))
+    return kept.join(repeats, same, "left_anti").unionByName(one.select("_row.*"))

@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from quillstream.llm import sharding
+from quillstream.llm import sharding, simhash
+from tests.llm.test_large_operators import slow_components, slow_print
 
 
 @pytest.mark.parametrize("bits", [4, 5])
@@ -17,3 +18,19 @@ def test_quantiles_of_many_rows_are_exact(spark, bits):
     got = {(r.b, r.curve) for r in sharding.shard(docs, sharding.Settings(bits=bits, strings=())).select((F.col("size") - 8).alias("b"), "curve").distinct().collect()}
     place = {b: sum(b > c for c in cuts) for b, _ in got}
     assert len(got) == len(place) and len({(c, place[b]) for b, c in got}) == len({c for _, c in got}) == len(set(place.values()))
+
+
+def test_one_row_of_each_component(spark, make_docs, corpus):
+    """Repeated rows, and rows without an id, are copies as any other."""
+    base = " ".join(f"w{i}" for i in range(300))
+    rows = [*corpus, *[(None, base)] * 4, *((None, f"{base} more{i}") for i in range(5)), *[(800, "one two three four")] * 3, (801, "five six seven"), (801, "one two three four"), (-3, "nine ten"), (None, "nine ten")]
+    kept = [(r.doc_id, r.text) for r in simhash.one_of_each(make_docs(rows)).collect()]
+    prints = [(n, slow_print(t)) for n, (_, t) in enumerate(rows)]  # components by the place of a row: each is one
+    groups = {}
+    for n, _, c in slow_components(prints):
+        groups.setdefault(c, []).append(rows[n])
+    key = lambda i: -(1 << 63) if i is None else i
+    assert len(kept) == len(groups) < len(rows)
+    for members in groups.values():
+        mine = [r for r in kept if r in members]
+        assert len(mine) == 1 and key(mine[0][0]) == min(key(i) for i, _ in members)
