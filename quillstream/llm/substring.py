@@ -13,8 +13,9 @@ passage in any number of documents costs one entry for each. Entries travel as p
 hash once for each stretch of text that a task reads; repeats inside the stretch are settled there.
 
 A null text has no words. A null id is below all others. Rows that repeat an id: only a smaller id or start removes
-words, so full copies of a row get equal results, and different texts under one id are judged apart (told apart by a
-16-bit tag of the text).
+words, so full copies of a row get equal results (a stretch takes them once), and different texts under one id are
+judged apart. A text is known by its id and 64 bits of hash all through, so what is found for it never grows with the
+rows of its id.
 """
 
 from __future__ import annotations
@@ -24,7 +25,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,25 +46,24 @@ class Settings:
 
 
 def _stretches(batches, columns: tuple[str, ...], size: int):
-    """Columns of whole rows, about size bytes of text at a time."""
-    held, total = [[] for _ in columns], 0
+    """Columns of whole rows, about size bytes of text at a time. Rows that repeat an id and a text count once."""
+    held, total, seen = [[] for _ in columns], 0, set()
     for b in batches:
         lists = [b.column(c).cast(pa.binary()).to_pylist() if c == "text" else b.column(c).to_pylist() for c in columns]
         for row in zip(*lists):
+            if row[:2] in seen:
+                continue
+            seen.add(row[:2])
             for h, v in zip(held, row):
                 h.append(v)
             total += len(row[columns.index("text")] or b"") + 1
             if total >= size:
                 yield held
-                held, total = [[] for _ in columns], 0
+                held, total, seen = [[] for _ in columns], 0, set()
     if held[0]:
         yield held
 
 
-def _tag(text: bytes | None) -> int:
-    return xxhash.xxh32_intdigest(text or b"") & 0xFFFF
-
-
 def _frame(columns: dict[str, list]) -> pa.RecordBatch:
     kinds = {"bucket": pa.int32()}
     return pa.record_batch({k: pa.array(v, kinds.get(k, pa.binary())) for k, v in columns.items()})
@@ -85,11 +84,11 @@ def _grouped(batches, columns: tuple[str, ...]):
 
 
 def _hit_blocks(rows: DataFrame, s: Settings, buckets: int) -> DataFrame:
-    """(k, block): reference blocks whose run of words occurs more than once."""
+    """rows: (k, tag, text). (k, tag, block): reference blocks whose run of words occurs more than once."""
     edges = np.array([(i << s.bits) // buckets for i in range(buckets + 1)], U)
 
     def index(batches):
-        for ids, texts in _stretches(batches, ("k", "text"), s.stretch):
+        for ids, tags, texts in _stretches(batches, ("k", "tag", "text"), s.stretch):
             words, counts = hash_words(texts)
             doc = np.repeat(np.arange(len(texts)), counts)
             first = np.cumsum(counts) - counts
@@ -103,20 +102,21 @@ def _hit_blocks(rows: DataFrame, s: Settings, buckets: int) -> DataFrame:
             many = once[np.diff(np.append(np.flatnonzero(new), len(value))) > 1]
             own = at - first[doc[at]]
             whole = own % s.block == 0
-            a, ad, ab = h[at[whole]], np.array(ids, np.int64)[doc[at[whole]]], (own[whole] // s.block).astype(np.uint32)
+            a, of, ab = h[at[whole]], doc[at[whole]], (own[whole] // s.block).astype(np.uint32)
             order = np.argsort(a, kind="stable")
-            a, ad, ab = a[order], ad[order], ab[order]
+            a, of, ab = a[order], of[order], ab[order]
+            ad, ag = np.array(ids, np.int64)[of], np.array(tags, np.int64)[of]
             cuts = [np.searchsorted(x, edges) for x in (once, many, a)]
-            out: dict[str, list] = {c: [] for c in ("bucket", "once", "many", "hash", "doc", "block")}
+            out: dict[str, list] = {c: [] for c in ("bucket", "once", "many", "hash", "doc", "tag", "block")}
             for i in range(buckets):
                 (p, q), (u, v), (x, y) = ((int(c[i]), int(c[i + 1])) for c in cuts)
                 if p < q:
-                    for c, blob in zip(out, (i, pack_sorted(once[p:q]), pack_sorted(many[u:v]), pack_sorted(a[x:y]), planes(ad[x:y]), planes(ab[x:y]))):
+                    for c, blob in zip(out, (i, pack_sorted(once[p:q]), pack_sorted(many[u:v]), pack_sorted(a[x:y]), planes(ad[x:y]), planes(ag[x:y]), planes(ab[x:y]))):
                         out[c].append(blob)
             yield _frame(out)
 
     def probe(batches):
-        for _, parts in _grouped(batches, ("once", "many", "hash", "doc", "block")):
+        for _, parts in _grouped(batches, ("once", "many", "hash", "doc", "tag", "block")):
             value = np.concatenate([unpack_sorted(x) for p in parts for x in p[:2]])
             value.sort()
             twice = value[1:][value[1:] == value[:-1]]  # a value in many is also in once
@@ -126,15 +126,16 @@ def _hit_blocks(rows: DataFrame, s: Settings, buckets: int) -> DataFrame:
             near = np.searchsorted(twice, a)
             hit = twice[np.minimum(near, len(twice) - 1)] == a
             doc = np.concatenate([unplanes(p[3], np.int64) for p in parts])[hit]
-            block = np.concatenate([unplanes(p[4], np.uint32) for p in parts])[hit]
-            yield pa.record_batch({"k": pa.array(doc), "block": pa.array(block.astype(np.int32))})
+            tag = np.concatenate([unplanes(p[4], np.int64) for p in parts])[hit]
+            block = np.concatenate([unplanes(p[5], np.uint32) for p in parts])[hit]
+            yield pa.record_batch({"k": pa.array(doc), "tag": pa.array(tag), "block": pa.array(block.astype(np.int32))})
 
-    dealt = rows.mapInArrow(index, "bucket int, once binary, many binary, hash binary, doc binary, block binary")
-    return dealt.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(probe, "k long, block int")
+    dealt = rows.mapInArrow(index, "bucket int, once binary, many binary, hash binary, doc binary, tag binary, block binary")
+    return dealt.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(probe, "k long, tag long, block int")
 
 
 def _later_windows(rows: DataFrame, s: Settings, buckets: int) -> DataFrame:
-    """rows: (k, text, blocks). (k, tag, start, runs): starts and run lengths of windows that are not the first of their sequence.
+    """rows: (k, tag, text, blocks). (k, tag, start, runs): starts and run lengths of windows that are not the first of their sequence.
 
     A text's windows settle in many buckets, so what is found travels back to the texts as packed blocks too, and a row
     is made for each text alone.
@@ -142,7 +143,7 @@ def _later_windows(rows: DataFrame, s: Settings, buckets: int) -> DataFrame:
     n, m, back = s.window, s.block, max(8, buckets // 2)
 
     def candidates(batches):
-        for ids, texts, blocks in _stretches(batches, ("k", "text", "blocks"), s.stretch):
+        for ids, tags, texts, blocks in _stretches(batches, ("k", "tag", "text", "blocks"), s.stretch):
             words, counts = hash_words(texts)
             if len(words) < n:
                 continue
@@ -162,7 +163,7 @@ def _later_windows(rows: DataFrame, s: Settings, buckets: int) -> DataFrame:
             # texts without words share their base with the next; the last of equal bases is the one with words
             a, b = hash_runs(words, n, 1)[at], (hash_runs(words, n, 2)[at] >> U(32)).astype(np.uint32)
             k = np.array(ids, np.int64)[doc]
-            tag = np.array([_tag(t) for t in texts], np.uint16)[doc]
+            tag = np.array(tags, np.int64)[doc]
             pos = (at - base[doc]).astype(np.uint32)
             order = np.lexsort((pos, k, b, a))
             a, b, k, tag, pos = a[order], b[order], k[order], tag[order], pos[order]
@@ -184,10 +185,10 @@ def _later_windows(rows: DataFrame, s: Settings, buckets: int) -> DataFrame:
         for bucket, parts in _grouped(batches, ("a", "b", "k", "tag", "pos")):
             if bucket < 0:
                 for p in parts:
-                    yield returned(unplanes(p[2], np.int64), unplanes(p[3], np.uint16), unplanes(p[4], np.uint32))
+                    yield returned(unplanes(p[2], np.int64), unplanes(p[3], np.int64), unplanes(p[4], np.uint32))
                 continue
             a = np.concatenate([unpack_sorted(p[0]) for p in parts])
-            b, k, tag, pos = (np.concatenate([unplanes(p[i], t) for p in parts]) for i, t in ((1, np.uint32), (2, np.int64), (3, np.uint16), (4, np.uint32)))
+            b, k, tag, pos = (np.concatenate([unplanes(p[i], t) for p in parts]) for i, t in ((1, np.uint32), (2, np.int64), (3, np.int64), (4, np.uint32)))
             order = np.lexsort((pos, k, b, a))
             a, b, k, tag, pos = a[order], b[order], k[order], tag[order], pos[order]
             _, first = _groups(a, b)
@@ -196,7 +197,7 @@ def _later_windows(rows: DataFrame, s: Settings, buckets: int) -> DataFrame:
                 yield returned(k[later], tag[later], pos[later])
 
     def returned(k, tag, pos):
-        part = (mix(k.view(U) ^ (tag.astype(U) << U(40))) % U(back)).astype(np.int64)
+        part = (mix(k.view(U) ^ tag.view(U)) % U(back)).astype(np.int64)
         order = np.lexsort((pos, tag, k, part))
         cut = np.searchsorted(part[order], np.arange(back + 1))
         out: dict[str, list] = {c: [] for c in ("bucket", "k", "tag", "pos")}
@@ -209,11 +210,11 @@ def _later_windows(rows: DataFrame, s: Settings, buckets: int) -> DataFrame:
 
     def gather(batches):
         for _, parts in _grouped(batches, ("k", "tag", "pos")):
-            yield _runs(*(np.concatenate([unplanes(p[i], t) for p in parts]) for i, t in enumerate((np.int64, np.uint16, np.uint32))))
+            yield _runs(*(np.concatenate([unplanes(p[i], t) for p in parts]) for i, t in enumerate((np.int64, np.int64, np.uint32))))
 
     dealt = rows.mapInArrow(candidates, "bucket int, a binary, b binary, k binary, tag binary, pos binary")
     settled = dealt.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(settle, "bucket int, k binary, tag binary, pos binary")
-    return settled.repartition(back, "bucket").sortWithinPartitions("bucket").mapInArrow(gather, "k long, tag int, start binary, runs binary")
+    return settled.repartition(back, "bucket").sortWithinPartitions("bucket").mapInArrow(gather, "k long, tag long, start binary, runs binary")
 
 
 def _groups(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -234,19 +235,18 @@ def _runs(k: np.ndarray, tag: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
     cut = np.append(np.flatnonzero(doc[begin]), len(begin))
     heads = begin[cut[:-1]]
     return pa.record_batch({
-        "k": pa.array(k[heads]), "tag": pa.array(tag[heads].astype(np.int32)),
+        "k": pa.array(k[heads]), "tag": pa.array(tag[heads]),
         "start": pa.array([start[x:y].tobytes() for x, y in zip(cut, cut[1:])], pa.binary()), "runs": pa.array([length[x:y].tobytes() for x, y in zip(cut, cut[1:])], pa.binary()),
     })
 
 
-def remove(text: bytes | None, found: list[dict] | None, window: int) -> tuple[int, int, bytes]:
+def remove(text: bytes | None, start: bytes | None, runs: bytes | None, window: int) -> tuple[int, int, bytes]:
     """Number of words, number removed, and the kept words joined by a space."""
     words = (text or b"").split()
-    own = [f for f in found or () if f["tag"] == _tag(text)]
-    if not own or len(words) < window:
+    if start is None:
         return len(words), 0, b" ".join(words)
-    start = np.concatenate([np.frombuffer(f["start"], np.uint32) for f in own]).astype(np.int64)
-    stop = start + np.concatenate([np.frombuffer(f["runs"], np.uint32) for f in own]) - 1 + window
+    start = np.frombuffer(start, np.uint32).astype(np.int64)
+    stop = start + np.frombuffer(runs, np.uint32) - 1 + window
     cover = np.zeros(len(words) + 1, np.int64)
     np.add.at(cover, start, 1)
     np.add.at(cover, stop, -1)
@@ -258,20 +258,21 @@ def remove(text: bytes | None, found: list[dict] | None, window: int) -> tuple[i
 def dedup(docs: DataFrame, s: Settings = Settings(), digest: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, n_words, n_removed, and kept (text) or its SHA-256, kept_sha256."""
     prepare(docs.sparkSession)
-    rows = docs.select(key_of(id_col).alias("k"), F.col(text_col).cast("string").alias("text"))
+    text = F.col(text_col).cast("string")
+    rows = docs.select(key_of(id_col).alias("k"), F.xxhash64(text).alias("tag"), text.alias("text"))
     buckets = buckets_for(rows, s.bucket_bytes)
     hits = Table(_hit_blocks(rows, s, buckets), "hit-blocks").df
     # what is found grows with the texts, and packed blocks look smaller than they are: no broadcast, at any size
-    by_doc = hits.groupBy("k").agg(F.collect_set("block").alias("blocks")).hint("merge")
-    later = Table(_later_windows(rows.join(by_doc, "k").select("k", "text", "blocks"), s, 2 * buckets), "later-windows").df
-    found = later.groupBy("k").agg(F.collect_list(F.struct("tag", "start", "runs")).alias("found")).hint("merge")
+    by_doc = hits.groupBy("k", "tag").agg(F.collect_set("block").alias("blocks")).hint("merge")
+    later = Table(_later_windows(rows.join(by_doc, ["k", "tag"]).select("k", "tag", "text", "blocks"), s, 2 * buckets), "later-windows").df
+    found = later.hint("merge")  # a row for each text: all of its windows meet in one bucket
 
     def apply(batches):
         for b in batches:
-            done = [remove(t, f, s.window) for t, f in zip(b.column("text").cast(pa.binary()).to_pylist(), b.column("found").to_pylist())]
+            done = [remove(*row, s.window) for row in zip(b.column("text").cast(pa.binary()).to_pylist(), b.column("start").to_pylist(), b.column("runs").to_pylist())]
             n, gone, kept = zip(*done) if done else ((), (), ())
             last = pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()) if digest else pa.array([x.decode() for x in kept], pa.string())
             yield pa.record_batch({"k": b.column("k"), "n_words": pa.array(n, pa.int64()), "n_removed": pa.array(gone, pa.int64()), "kept": last})
 
-    out = rows.join(found, "k", "left").mapInArrow(apply, "k long, n_words long, n_removed long, kept string")
+    out = rows.join(found, ["k", "tag"], "left").mapInArrow(apply, "k long, n_words long, n_removed long, kept string")
     return out.select(F.nullif("k", F.lit(NULL_ID)).alias("doc_id"), "n_words", "n_removed", F.col("kept").alias("kept_sha256" if digest else "kept"))

@@ -1,10 +1,14 @@
 """Rows, ranks and texts that an operator once left out, at sizes or with keys that other tests do not have."""
 
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
-from quillstream.llm import sharding, simhash
-from tests.llm.test_large_operators import slow_components, slow_print
+from quillstream.llm import sharding, simhash, substring
+from tests.llm.conftest import prose
+from tests.llm.test_large_operators import slow_components, slow_dedup, slow_print
 
 
 @pytest.mark.parametrize("bits", [4, 5])
@@ -34,3 +38,17 @@ def test_one_row_of_each_component(spark, make_docs, corpus):
     for members in groups.values():
         mine = [r for r in kept if r in members]
         assert len(mine) == 1 and key(mine[0][0]) == min(key(i) for i, _ in members)
+
+
+@pytest.mark.parametrize("stretch", [6 << 20, 3000])
+def test_many_texts_under_one_id(spark, make_docs, stretch):
+    """Texts of one id are told apart, however many: some repeat a passage, some are shorter, some are copies."""
+    rng = random.Random(4)
+    passage = prose(rng, 40)
+    rows = [(None, f"{prose(rng, 20 + i % 90, 4000)} {passage if i % 2 else ''}") for i in range(900)]
+    rows += [(None, prose(rng, rng.randrange(20, 30), 4000)) for _ in range(600)] + rows[:30] * 3 + [(1, passage), (None, None)]
+    docs = make_docs(rows).repartition(3)
+    out = substring.dedup(docs, substring.Settings(stretch=stretch)).collect()
+    want = slow_dedup(rows, 20)
+    assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept) for r in out) == want
+    assert substring.dedup(docs).columns == ["doc_id", "n_words", "n_removed", "kept"]
