@@ -116,14 +116,16 @@ def minimise(fun, x: np.ndarray, rounds: int, memory: int = 8) -> np.ndarray:
 
 
 def sample(docs: DataFrame, labels: DataFrame, s: Settings, id_col: str, text_col: str, label_col: str) -> DataFrame:
-    """Up to per_class labelled training texts of each class: (label, text). Conflicting labels of an id: the largest."""
+    """Up to per_class labelled training texts of each class: (_id, label, text). Conflicting labels of an id: the
+    largest; of rows that repeat an id, one: that of the smallest text hash."""
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(F.col(id_col), s.folds))
     known = known.groupBy(F.col(id_col).alias("_id")).agg((F.max(label_col) > 0).cast("int").alias("label"))
     order = [F.xxhash64("_id"), F.col("_id")]
     ids = known.where("label = 1").orderBy(*order).limit(s.per_class).unionByName(known.where("label = 0").orderBy(*order).limit(s.per_class))
     # at most 2 * per_class ids: small by construction, so the texts need no shuffle
     ids = F.broadcast(ids)
-    return docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("text")).join(ids, F.col("_doc") == F.col("_id")).select("_id", "label", "text")
+    rows = docs.select(F.col(id_col).alias("_doc"), F.struct(F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text")).alias("row")).join(ids, F.col("_doc") == F.col("_id"))
+    return rows.groupBy("_id", "label").agg(F.min("row").alias("row")).select("_id", "label", "row.text")
 
 
 def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:

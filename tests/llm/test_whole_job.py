@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from quillstream.llm import sharding, simhash, substring
+from quillstream.llm import sharding, simhash, substring, toxicity
 from tests.llm.conftest import prose
 from tests.llm.test_large_operators import slow_components, slow_dedup, slow_print
 
@@ -52,3 +52,12 @@ def test_many_texts_under_one_id(spark, make_docs, stretch):
     want = slow_dedup(rows, 20)
     assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept) for r in out) == want
     assert substring.dedup(docs).columns == ["doc_id", "n_words", "n_removed", "kept"]
+
+
+def test_a_repeated_id_is_sampled_once(spark, make_docs):
+    rows = [(i, f"text {i}") for i in range(20)] + [(7, f"other text {i}") for i in range(300)] + [(7, None)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, toxic int")
+    docs = make_docs(rows)
+    got = [(r._id, r.label, r.text) for n in (1, 9) for r in toxicity.sample(docs.repartition(n), labels, toxicity.Settings(folds=99991), "doc_id", "text", "toxic").collect()]
+    least = docs.where("doc_id = 7").orderBy(F.xxhash64("text")).first().text
+    assert sorted(got, key=str) == sorted(2 * [(i, i % 2, least if i == 7 else f"text {i}") for i in range(20)], key=str)
