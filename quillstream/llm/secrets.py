@@ -133,10 +133,11 @@ def spans(text: str | None) -> list[tuple[int, int, str]]:
     runs = text.encode().translate(_CLASS)
     if b"d" * 24 in runs:
         out += [(m.start(), m.end(), "hex") for m in _HEX.finditer(text)]
-    if _LONG.search(runs):
+    if "-----BEGIN " in text:  # its lines may be shorter than any run
         for m in _PEM.finditer(text):
             if _confirmed(unbase64("".join(m[2].split()))):
                 out.append((m.start(), m.end(), "pem"))
+    if _LONG.search(runs):
         for m in _BASE64.finditer(text):
             kind = _confirmed(unbase64(m[0]))
             if kind:

@@ -1,14 +1,17 @@
 """Rows, ranks and texts that an operator once left out, at sizes or with keys that other tests do not have."""
 
+import base64
 import random
+import re
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from quillstream.llm import sharding, simhash, substring, toxicity
+from quillstream.llm import secrets, sharding, simhash, substring, toxicity
 from tests.llm.conftest import prose
 from tests.llm.test_large_operators import slow_components, slow_dedup, slow_print
+from tests.llm.test_small_operators import RSA
 
 
 @pytest.mark.parametrize("bits", [4, 5])
@@ -61,3 +64,12 @@ def test_a_repeated_id_is_sampled_once(spark, make_docs):
     got = [(r._id, r.label, r.text) for n in (1, 9) for r in toxicity.sample(docs.repartition(n), labels, toxicity.Settings(folds=99991), "doc_id", "text", "toxic").collect()]
     least = docs.where("doc_id = 7").orderBy(F.xxhash64("text")).first().text
     assert sorted(got, key=str) == sorted(2 * [(i, i % 2, least if i == 7 else f"text {i}") for i in range(20)], key=str)
+
+
+@pytest.mark.parametrize("width", [20, 39, 64])
+def test_private_keys_of_any_line_width(width):
+    body = "\n".join(re.findall(f".{{1,{width}}}", base64.b64encode(RSA).decode()))
+    key = f"-----BEGIN PRIVATE KEY-----\n{body}\n-----END PRIVATE KEY-----"
+    assert (4, 4 + len(key), "pem") in secrets.spans(f"key {key} end")
+    assert secrets.redact(f"key {key} end") == "key [REDACTED:pem] end"
+    assert secrets.spans("-----BEGIN PRIVATE KEY-----\nnot a key\n-----END PRIVATE KEY-----") == []
