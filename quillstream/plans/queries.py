@@ -302,10 +302,10 @@ def q40_hash_embed(spark, d):
 
 
 def q41_ingest_chunks(spark, d):
-    """The whole plan: text and Markdown files to redacted, embedded chunks."""
+    """The whole plan: all files to redacted, embedded chunks; the gates reject what cannot be parsed."""
     from . import ingest
 
-    files = _described(spark, d).where(t.extension(F.col("path")).isin(".md", ".txt")).select(F.col("path").alias("file_path"), F.col("text").cast("binary").alias("content"), "source_type", "source_url", F.lit("2024-01-01T00:00:00Z").alias("last_modified"))
+    files = _described(spark, d).select(F.col("path").alias("file_path"), F.col("text").cast("binary").alias("content"), "source_type", "source_url", F.lit("2024-01-01T00:00:00Z").alias("last_modified"))
     return ingest.chunks(ingest.documents(files), SMALL).drop("ingested_at")
 
 
