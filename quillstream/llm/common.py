@@ -5,9 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 from contextlib import contextmanager
+from itertools import count, islice
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, NullType
 
 from ..ship import ship
 
@@ -26,7 +28,7 @@ def prepare(spark: SparkSession) -> None:
     worker never holds much text at once."""
     ship(spark)
     for key, value in _BATCH.items():
-        spark.conf.set(key, value)
+        spark.conf.set(key, value)  # plans are lazy and read this when they run, so it stays set
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,10 +36,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share. A local one is made only where the session names none."""
+    """The folder that the driver and all executors share. Where the session names none, a local one is made if the
+    executors are this machine's own; on a cluster each would write to its own disk, so that is refused."""
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not found:
+        if sc.master.partition("[")[0] != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='quillstream-')}"
         sc.setCheckpointDir(found)
         found = sc.getCheckpointDir()
@@ -56,13 +61,16 @@ def _tidy(spark: SparkSession):
 
 
 class Table:
-    """A table written to the shared folder: cuts the lineage, and outlives lost executors."""
+    """A table written to the shared folder: cuts the lineage, and outlives lost executors. It goes with drop(), or when
+    the application ends, as results that are read lazily may need it until then."""
 
     def __init__(self, df: DataFrame, name: str):
         self.spark = df.sparkSession
         self.path = f"{shared_dir(self.spark)}/quillstream/{name}-{uuid.uuid4().hex}"
         with _tidy(self.spark):
             df.write.option("compression", "zstd").parquet(self.path)
+        path = self._path()
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).deleteOnExit(path)
         self.schema = df.schema
 
     @property
@@ -70,17 +78,29 @@ class Table:
         return self.spark.read.schema(self.schema).parquet(self.path)
 
     def drop(self) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path = self._path()
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
+    def _path(self):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     return Table(df, name).df
 
 
-def key_of(column: str) -> Column:
+def integral(df: DataFrame, column: str) -> Column:
+    """An id column as a long. Ids are integers or null; columns of other types are refused when the plan is made. The
+    one value -2**63 is taken for null."""
+    kind = df.select(column).schema[0].dataType
+    if not isinstance(kind, (IntegralType, NullType)):
+        raise TypeError(f"{column} must hold integers or null, not {kind.simpleString()}")
+    return F.col(column).cast("long")
+
+
+def key_of(df: DataFrame, column: str) -> Column:
     """An id as a long, NULL_ID for null."""
-    return F.coalesce(F.col(column).cast("long"), F.lit(NULL_ID))
+    return F.coalesce(integral(df, column), F.lit(NULL_ID))
 
 
 def id_of(column: str) -> Column:
@@ -88,6 +108,12 @@ def id_of(column: str) -> Column:
     return F.nullif(F.col(column), F.lit(NULL_ID))
 
 
+def free_names(df: DataFrame, n: int) -> list[str]:
+    """n column names that df does not have, in any case."""
+    taken = {c.lower() for c in df.columns}
+    return list(islice((c for c in (f"_q{i}" for i in count()) if c not in taken), n))
+
+
 #: A size that Catalyst gives to inputs that it knows nothing of, or to joins of such, is at least this.
 _UNKNOWN = 1 << 55
 
@@ -101,5 +127,5 @@ def input_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(sum(sizes, F.lit(8).cast("long")))).first()[0] or 0
 
 
-def buckets_for(df: DataFrame, bytes_each: int, least: int = 8, most: int = 1 << 16) -> int:
-    return max(least, min(most, -(-input_bytes(df) // bytes_each)))
+def buckets_for(df: DataFrame, bytes_each: int, least: int = 8) -> int:
+    return max(least, -(-input_bytes(df) // bytes_each))
