@@ -85,7 +85,7 @@ def stage_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def stage_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with windows of two or more benchmark items go."""
+    """Documents with a full window of any benchmark item go."""
     return decontaminate.clean(docs, read_table(spark, sf_dir, "benchmark"))
 
 
