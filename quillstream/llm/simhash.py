@@ -8,7 +8,8 @@ and each group passes on only a spanning forest of its links. Links become compo
 
 Words are runs without space, tab or line ends; A-Z are lower-cased; shingles of ``shingle`` words joined by a space,
 repeats counted; a shorter text is one shingle, and one without words (null and empty texts too) has fingerprint 0,
-which links like any other. Rows with equal ids each keep their fingerprint; a null id is below all others.
+which links like any other. Rows with equal ids each keep their fingerprint; a null id is below all others, and ids are
+integers. An empty table gives no rows; other columns are kept or not looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, Table, key_of, prepare
+from .common import NULL_ID, Table, free_names, key_of, prepare
 from .components import components
 from .packing import U, mix, planes, roots, runs, unplanes
 
@@ -33,7 +34,8 @@ class Settings:
     distance: int = 3
     seed: int = 42
     small: int = 2048  #: a group of more distinct fingerprints is cut again
-    buckets: int = 32  #: groups are dealt to so many partitions a segment
+    bucket: int = 1 << 17  #: distinct fingerprints for each bucket of a variant
+    part: int = 32 << 20  #: bytes of variants for each partition
     piece: int = 1 << 16  #: shingles whose bits are counted at a time
 
 
@@ -65,7 +67,7 @@ def fingerprints(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_i
             fps = np.fromiter((fingerprint(t, s) for t in texts), U, len(texts)).view(np.int64)
             yield pa.record_batch({"k": b.column("k"), "h": b.column("h"), "fp": pa.array(fps)})
 
-    return docs.select(key_of(id_col).alias("k"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text")).mapInArrow(run, "k long, h long, fp long")
+    return docs.select(key_of(docs, id_col).alias("k"), F.xxhash64(F.col(text_col).cast("string")).alias("h"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "k long, h long, fp long")
 
 
 def segments(width: int, distance: int) -> list[tuple[int, int]]:
@@ -126,6 +128,8 @@ def _fewer(links: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray,
 def links(fps: DataFrame, s: Settings = Settings()) -> DataFrame:
     """fps: distinct (fp long). Returns (a long, b long): links that connect all within the distance of each other."""
     prepare(fps.sparkSession)
+    n = fps.count()
+    buckets, tasks = max(32, -(-n // s.bucket)), max(16, -(-n * 8 * 64 // s.part))
     parts = [(k, low + i, U(((1 << bits) - 1) << low & ~(1 << (low + i)))) for k, (low, bits) in enumerate(segments(64, s.distance)) for i in range(bits)]
 
     def variants(batches):
@@ -134,10 +138,10 @@ def links(fps: DataFrame, s: Settings = Settings()) -> DataFrame:
         def flush():
             v = np.unique(np.concatenate(held))
             for n, (_, bit, mask) in enumerate(parts):
-                where = (mix((v & mask) + U(n)) % U(s.buckets)).astype(int)
+                where = (mix((v & mask) + U(n)) % U(buckets)).astype(int)
                 order = np.argsort(where, kind="stable")
-                cut = np.searchsorted(where[order], np.arange(s.buckets + 1))
-                for j in range(s.buckets):
+                cut = np.searchsorted(where[order], np.arange(buckets + 1))
+                for j in range(buckets):
                     if cut[j] < cut[j + 1]:
                         yield n, j, planes(v[order[cut[j] : cut[j + 1]]])
 
@@ -148,7 +152,7 @@ def links(fps: DataFrame, s: Settings = Settings()) -> DataFrame:
         for b in batches:
             held.append(b.column("fp").to_numpy(zero_copy_only=False).view(U))
             size += len(held[-1])
-            if size > 1 << 19:
+            if size > max(1 << 19, 1024 * buckets):  # so that blocks hold many fingerprints
                 yield batch(flush())
                 held, size = [], 0
         if size:
@@ -184,7 +188,7 @@ def links(fps: DataFrame, s: Settings = Settings()) -> DataFrame:
         if blobs:
             yield done(last[0], blobs)
 
-    dealt = fps.select("fp").mapInArrow(variants, "variant int, bucket int, fps binary").repartition("variant", "bucket").sortWithinPartitions("variant", "bucket")
+    dealt = fps.select("fp").mapInArrow(variants, "variant int, bucket int, fps binary").repartition(tasks, "variant", "bucket").sortWithinPartitions("variant", "bucket")
     return dealt.mapInArrow(verify, "a long, b long").distinct()
 
 
@@ -209,13 +213,20 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), id_col: str = "do
 def one_of_each(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one row of each component: of its smallest id, the smallest hash of a text, and the smallest of the rows
     that repeat both. Rows that repeat an id with other texts are judged apart."""
+    k, h, row = free_names(docs, 3)
     classes, table = _classes(docs, s, id_col, text_col)
-    named = [F.col("k").alias("_k"), F.col("h").alias("_h")]
-    same = (key_of(id_col) == F.col("_k")) & (F.xxhash64(text_col) == F.col("_h"))
+    named, same = [F.col("k").alias(k), F.col("h").alias(h)], [k, h]
+    keyed = docs.withColumns({k: key_of(docs, id_col), h: F.xxhash64(F.col(text_col).cast("string"))})
     gone = classes.where("k <> c or h <> ch").select(*named).distinct()
-    kept = docs.join(gone, same, "left_anti")
-    repeats = Table(table.groupBy("k", "h").agg(F.count("*").alias("n")).where("n > 1").select(*named), "repeats").df
-    if repeats.isEmpty():
-        return kept
-    one = kept.join(repeats, same, "left_semi").groupBy(key_of(id_col).alias("_k"), F.xxhash64(text_col).alias("_h")).agg(F.min(F.struct(*(F.col(f"`{c}`") for c in docs.columns))).alias("_row"))
-    return kept.join(repeats, same, "left_anti").unionByName(one.select("_row.*"))
+    kept = keyed.join(gone, same, "left_anti")
+    repeats = Table(table.groupBy("k", "h").agg(F.count("*").alias("n")).where("n > 1").select(*named), "repeats")
+    if repeats.df.isEmpty():
+        repeats.drop()
+        return kept.select(*_plain(docs))
+    whole = F.struct(*_plain(docs))
+    one = kept.join(repeats.df, same, "left_semi").groupBy(*same).agg(F.min_by(whole, F.to_json(whole)).alias(row))
+    return kept.join(repeats.df, same, "left_anti").select(*_plain(docs)).unionByName(one.select(f"{row}.*"))
+
+
+def _plain(docs: DataFrame) -> list:
+    return [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
