@@ -2,11 +2,14 @@
 
 Base kinds, leftmost and non-overlapping each: ``assign`` (a named value of 6 or more characters), ``access`` (key
 ids of 20 or more) and ``hex`` (runs of 24 or more). The method adds kinds that are reported only if their decoded
-bytes have the right structure: ``jwt`` (a signed token whose header is JSON with an algorithm), ``der`` (base64 or
-hex of an ASN.1 sequence that begins like a key and whose nested lengths fit exactly), ``ssh`` (length-prefixed key
-fields that begin with a key type's name) and ``pem`` (an armoured private key whose body decodes to such bytes).
-
-Whole texts are scanned. A null text counts as empty: no spans. Spans are in code points, the end exclusive.
+bytes have the right structure: ``jwt`` (a token with a decodable signature whose header is JSON with a signing
+algorithm), ``der`` (base64 or hex of an ASN.1 sequence that holds a private key's version and numbers and whose nested
+lengths fit exactly), ``ssh`` (the container of private keys, whose length-prefixed fields fit) and ``pem`` (an armoured
+private key whose body, after any header lines, decodes to such bytes). Public keys and unsigned tokens are no secrets
+and are not reported. A hex run of odd length is tried without its first and without its last digit.
+
+Whole texts are scanned. A null text counts as empty: no spans. Spans are in code points, the end exclusive. A row is
+judged on its own: repeated rows get equal results, an empty table none, and other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -30,11 +33,10 @@ _HEX = re.compile(r"[0-9a-f]{24,}")
 _BIG_HEX = re.compile(r"[0-9A-Fa-f]{48,}")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
 _JWT = re.compile(r"(?<![A-Za-z0-9_-])e[yw][A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
-_PEM = re.compile(r"-----BEGIN ([A-Z ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
+_PEM = re.compile(r"-----BEGIN ([A-Z ]*PRIVATE KEY)-----((?:\s*[A-Za-z-]+:[^\n]*)*)([A-Za-z0-9+/=\s]+)-----END \1-----")
 #: Characters by what a run of them can be: d for digits and a-f, b for the rest of base64's.
 _CLASS = bytes(100 if chr(c) in "0123456789abcdef" else 98 if chr(c) in "ABCDEFGHIJKLMNOPQRSTUVWXYZghijklmnopqrstuvwxyz+/_-" else 32 for c in range(256))
 _LONG = re.compile(rb"[db]{40}")
-_KEY_TYPES = (b"ssh-rsa", b"ssh-dss", b"ssh-ed25519", b"ecdsa-sha2-")
 
 
 def unbase64(text: str) -> bytes | None:
@@ -75,7 +77,8 @@ def der_fields(data: bytes, at: int, end: int) -> list[tuple[int, int, int]] | N
 
 
 def is_der_key(data: bytes) -> bool:
-    """A sequence over the whole input, begun by a version, then a key's numbers, octets or algorithm."""
+    """A private key: a sequence over the whole input, begun by a version, then at least three positive integers more
+    (RSA, DSA), octets (EC), or an algorithm and octets (PKCS 8); or an algorithm with parameters and encrypted octets."""
     top = der_fields(data, 0, len(data)) if len(data) >= 24 and data[0] == 0x30 else None
     if not top or len(top) != 1:
         return False
@@ -84,36 +87,50 @@ def is_der_key(data: bytes) -> bool:
         return False
     first, second = parts[0], parts[1]
     if first[0] == 0x02 and first[2] - first[1] == 1 and data[first[1]] in (0, 1):
-        return second[0] in (0x02, 0x04) or second[0] == 0x30 and bool(der_fields(data, second[1], second[2]))
-    algorithm = der_fields(data, first[1], first[2]) if first[0] == 0x30 else None
-    return bool(algorithm) and algorithm[0][0] in (0x06, 0x30) and second[0] in (0x03, 0x04)
+        if second[0] == 0x02:
+            return len(parts) >= 5 and all(t == 0x02 and b > a and data[a] < 0x80 for t, a, b in parts[1:5])
+        if second[0] == 0x30:
+            named = der_fields(data, second[1], second[2])
+            return bool(named) and named[0][0] == 0x06 and len(parts) >= 3 and parts[2][0] == 0x04
+        return second[0] == 0x04 and second[2] - second[1] >= 16
+    named = der_fields(data, first[1], first[2]) if first[0] == 0x30 else None
+    return bool(named) and len(named) == 2 and named[0][0] == 0x06 and named[1][0] == 0x30 and len(parts) == 2 and second[0] == 0x04
 
 
 def is_ssh_key(data: bytes) -> bool:
-    """An OpenSSH container, or length-prefixed fields that fill the input and begin with a key type's name."""
-    if data.startswith(b"openssh-key-v1\0"):
-        data, whole = data[15:], False
-    else:
-        whole = True
-    fields, at = [], 0
-    while at + 4 <= len(data) and (whole or len(fields) < 3):
+    """A container of private keys: cipher, key derivation and its options, the number of keys, then each public key and
+    the private part, as length-prefixed fields that fit."""
+    magic = b"openssh-key-v1\0"
+    if not data.startswith(magic):
+        return False
+    at = len(magic)
+
+    def field() -> bytes | None:
+        nonlocal at
         n = int.from_bytes(data[at : at + 4], "big")
         if at + 4 + n > len(data):
-            return False
-        fields.append(data[at + 4 : at + 4 + n])
+            return None
         at += 4 + n
-    return len(fields) >= 2 and (not whole or at == len(data) and fields[0].startswith(_KEY_TYPES))
+        return data[at - n : at]
+
+    if not field() or not field() or field() is None:
+        return False
+    keys = int.from_bytes(data[at : at + 4], "big")
+    at += 4
+    return 1 <= keys <= 16 and all(field() for _ in range(keys + 1))
 
 
-def is_token_header(text: str) -> bool:
-    data = unbase64(text)
-    if not data or not data.lstrip().startswith(b"{"):
+def is_token(text: str) -> bool:
+    """A compact token that is signed: a JSON header that names an algorithm other than none, and a signature of 16 bytes
+    or more."""
+    header, _, signature = (unbase64(x) for x in text.split("."))
+    if not header or not header.lstrip().startswith(b"{") or len(signature or b"") < 16:
         return False
     try:
-        header = json.loads(data)
+        fields = json.loads(header)
     except (ValueError, RecursionError):
         return False
-    return isinstance(header, dict) and isinstance(header.get("alg"), str)
+    return isinstance(fields, dict) and isinstance(fields.get("alg"), str) and fields["alg"].lower() != "none"
 
 
 def _confirmed(data: bytes | None) -> str | None:
@@ -135,7 +152,9 @@ def spans(text: str | None) -> list[tuple[int, int, str]]:
         out += [(m.start(), m.end(), "hex") for m in _HEX.finditer(text)]
     if "-----BEGIN " in text:  # its lines may be shorter than any run
         for m in _PEM.finditer(text):
-            if _confirmed(unbase64("".join(m[2].split()))):
+            body = unbase64("".join(m[3].split()))
+            # an older armour says in its header lines that the body is encrypted, so only whole cipher blocks can be seen
+            if _confirmed(body) or "ENCRYPTED" in m[2] and body and len(body) >= 64 and len(body) % 8 == 0:
                 out.append((m.start(), m.end(), "pem"))
     if _LONG.search(runs):
         for m in _BASE64.finditer(text):
@@ -143,11 +162,13 @@ def spans(text: str | None) -> list[tuple[int, int, str]]:
             if kind:
                 out.append((m.start(), m.end(), kind))
         for m in _BIG_HEX.finditer(text):
-            kind = _confirmed(bytes.fromhex(m[0])) if len(m[0]) % 2 == 0 else None
-            if kind:
-                out.append((m.start(), m.end(), kind))
+            odd = len(m[0]) % 2
+            for cut in range(odd + 1):
+                a, b = m.start() + (odd and cut), m.end() - (odd and 1 - cut)
+                if kind := _confirmed(bytes.fromhex(text[a:b])):
+                    out.append((a, b, kind))
     if "ey" in text or "ew" in text:
-        out += [(m.start(), m.end(), "jwt") for m in _JWT.finditer(text) if is_token_header(m[0].partition(".")[0])]
+        out += [(m.start(), m.end(), "jwt") for m in _JWT.finditer(text) if is_token(m[0])]
     return sorted(set(out), key=lambda x: (x[0], KINDS.index(x[2]), x[1]))
 
 
