@@ -3,7 +3,8 @@
 Labels are learned only from rows whose ``crc32(doc_id as text) mod folds`` is not 0. The fit uses a bounded
 sample (``Settings.per_class`` rows of each class, chosen by a hash of the id); scoring covers every row and
 whole texts. Null and empty texts have no n-grams and score the intercept alone. Labels, language, source and
-id are no input of a score. Rows are never joined for scoring, so repeated rows and null ids score as any other.
+id are no input of a score. Rows are never joined for scoring, so repeated rows and null ids score as any other, an empty table
+gives no rows, and other columns are not looked at. Of labelled ids with the same hash, the smaller one is sampled first.
 Without labelled rows of both classes, every score is the smoothed share of the positive class.
 """
 
@@ -34,7 +35,8 @@ class Settings:
     folds: int = 5
     parts: int = 3  #: cross-fitting of the calibration
     piece: int = 1 << 18  #: characters hashed at a time
-    entries: int = 1 << 20  #: features of sampled texts that the fit works on at a time
+    block: int = 256  #: sampled texts that the fit works on at a time
+    entries: int = 24 << 20  #: places of features that the fit keeps unpacked; texts beyond them are unpacked when needed
 
 
 def grams(text: str, s: Settings) -> Iterator[np.ndarray]:
@@ -71,9 +73,22 @@ class Model:
         table = np.zeros(1 << self.settings.bits, np.float32)
         table[self.features] = self.weights
         mask = table != 0
+        last, place = np.zeros(1 << self.settings.bits, np.int64), np.zeros(1 << self.settings.bits, np.int32)
+        number = 0
 
         def score(text: str | None) -> float:
-            z = self.bias + float(table[present(text, self.settings, mask)].sum(dtype=np.float64))
+            """Sums each feature of the text once: the last place that holds it, in the first piece that does."""
+            nonlocal number
+            number += 1
+            z = self.bias
+            for g in grams(text or "", self.settings):
+                g = g[mask[g]]
+                g = g[last[g] != number]
+                at = np.arange(len(g), dtype=np.int32)
+                place[g] = at
+                g = g[place[g] == at]
+                last[g] = number
+                z += float(table[g].sum(dtype=np.float64))
             return float(1 / (1 + np.exp(-np.clip(z, -60, 60))))
 
         return score
@@ -178,13 +193,16 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col: st
 
     def encode(batches):
         for b in batches:
-            yield pa.record_batch({"id": b.column("_id").cast(pa.int64()), "label": b.column("label"), "found": pa.array([present(t, s, mask).tobytes() for t in b.column("text").to_pylist()], pa.binary())})
+            bits = [np.packbits(np.isin(features, present(t, s, mask), assume_unique=True)).tobytes() for t in b.column("text").to_pylist()]
+            yield pa.record_batch({"id": b.column("_id").cast(pa.int64()), "label": b.column("label"), "found": pa.array(bits, pa.binary())})
 
     y, found = [], []
-    for r in sorted(chosen.df.mapInArrow(encode, "id long, label int, found binary").collect()):  # 2 * per_class rows
+    # 2 * per_class rows of keep bits: 30 MB at most as set
+    for r in sorted(chosen.df.mapInArrow(encode, "id long, label int, found binary").toLocalIterator()):
         y.append(float(r.label))
-        found.append(np.searchsorted(features, np.frombuffer(r.found, np.uint32)).astype(np.int32))
+        found.append(np.frombuffer(r.found, np.uint8))
     chosen.drop()
+    found = Sample(found, len(features), s)
     y = np.array(y)
     scale = ratio[features]
     importance = np.where(y == 1, prior / y.mean(), (1 - prior) / (1 - y.mean()))
@@ -193,38 +211,53 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col: st
     z = np.zeros(len(y))
     for k in range(s.parts):  # scores by models that have not seen the text, to calibrate on
         v = solve(found, scale, y, importance, part != k, s)
-        z[part == k] = [v[:-1][f].sum() + v[-1] for f in (found[i] for i in np.flatnonzero(part == k))]
+        z[part == k] = [v[:-1][found.features(i)].sum() + v[-1] for i in np.flatnonzero(part == k)]
     v = solve(found, scale, y, importance, part >= 0, s)
     slope, shift = platt(z, y, importance)
     return Model(s, features, (slope * v[:-1]).astype(np.float32), float(slope * v[-1] + shift))
 
 
-def solve(found: list[np.ndarray], scale: np.ndarray, y: np.ndarray, importance: np.ndarray, use: np.ndarray, s: Settings) -> np.ndarray:
+class Sample:
+    """The features of the sampled texts: a bit for each, and places for as many texts as fit into ``entries``."""
+
+    def __init__(self, bits: list[np.ndarray], n: int, s: Settings):
+        self.bits, self.n, self.held, left = bits, n, {}, s.entries
+        for i, b in enumerate(bits):
+            own = self._places(b)
+            if len(own) > left:
+                break
+            self.held[i] = own.astype(np.uint16 if n <= 1 << 16 else np.int32)
+            left -= len(own)
+
+    def _places(self, bits: np.ndarray) -> np.ndarray:
+        return np.flatnonzero(np.unpackbits(bits, count=self.n))
+
+    def features(self, i: int) -> np.ndarray:
+        own = self.held.get(i)
+        return self._places(self.bits[i]) if own is None else own
+
+
+def solve(found: Sample, scale: np.ndarray, y: np.ndarray, importance: np.ndarray, use: np.ndarray, s: Settings) -> np.ndarray:
     """Regularised logistic regression on scaled features: the weight of each feature's presence, and the bias.
 
-    Works through blocks of texts, so that beyond the features found it needs a few MB.
+    Works through blocks of texts, so that beyond the sample it needs a few MB.
     """
     rows = np.flatnonzero(use)
-    blocks = np.array_split(rows, max(1, sum(len(found[i]) for i in rows) // s.entries))
-    place = np.cumsum([0, *(len(b) for b in blocks)])
     y, importance = y[rows], importance[rows]
 
-    def entries(n):
-        own = [found[i] for i in blocks[n]]
-        return np.concatenate([np.empty(0, np.int32), *own]), [len(f) for f in own]
-
     def loss(v):
-        u, z, grad = scale * v[:-1], np.empty(len(rows)), np.zeros(len(scale))
-        for n in range(len(blocks)):
-            col, counts = entries(n)
-            z[place[n] : place[n + 1]] = np.bincount(np.repeat(np.arange(len(counts)), counts), u[col], len(counts)) + v[-1]
-        p = 1 / (1 + np.exp(-np.clip(z, -60, 60)))
-        e = importance * (p - y)
-        for n in range(len(blocks)):
-            col, counts = entries(n)
-            grad += np.bincount(col, np.repeat(e[place[n] : place[n + 1]], counts), len(scale))
-        value = (importance * (np.logaddexp(0, z) - y * z)).sum() + s.l2 / 2 * v[:-1].dot(v[:-1])
-        return value, np.append(scale * grad + s.l2 * v[:-1], e.sum())
+        u, value, grad, bias = scale * v[:-1], 0.0, np.zeros(len(scale)), 0.0
+        for at in range(0, len(rows), s.block):
+            own = [found.features(i) for i in rows[at : at + s.block].tolist()]
+            counts = [len(f) for f in own]
+            col = np.concatenate([np.empty(0, np.uint16), *own])
+            z = np.bincount(np.repeat(np.arange(len(own)), counts), u[col], len(own)) + v[-1]
+            label, weight = y[at : at + s.block], importance[at : at + s.block]
+            e = weight * (1 / (1 + np.exp(-np.clip(z, -60, 60))) - label)
+            grad += np.bincount(col, np.repeat(e, counts), len(scale))
+            value += (weight * (np.logaddexp(0, z) - label * z)).sum()
+            bias += e.sum()
+        return value + s.l2 / 2 * v[:-1].dot(v[:-1]), np.append(scale * grad + s.l2 * v[:-1], bias)
 
     v = minimise(loss, np.zeros(len(scale) + 1), s.rounds)
     v[:-1] *= scale
