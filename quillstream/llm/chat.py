@@ -7,7 +7,10 @@ conv_id names one conversation, below all others.
 
 Prefixes are found by rolling hashes: the exclusive or of two 64-bit hashes of (position, role, text), so a running
 value needs no long sequential step. Positions and running values are taken inside blocks of ``block`` turn numbers
-and joined with the totals of earlier blocks, so a very long conversation spreads over tasks. Rendered conversations
+and joined with the totals of earlier blocks, so a very long conversation spreads over tasks; turns that share a number,
+or have none, are one block and are sorted together. Placed turns are written once; hashing and the anti-join read narrow
+columns of that, and texts are read again for the conversations that stay. An empty table gives no rows, conv_id holds
+integers or null, and other columns are not looked at. Rendered conversations
 come in segments of ``segment`` turns, whose texts in order are the conversation; most have one segment.
 """
 
@@ -18,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, key_of
+from .common import NULL_ID, Table, key_of
 
 
 @dataclass(frozen=True)
@@ -32,8 +35,8 @@ class Settings:
 
 
 def _turns(conversations: DataFrame, s: Settings) -> DataFrame:
-    """(c, pos, n, role, text, p1, p2): position from 1, turns of the conversation, and the rolling hashes."""
-    rows = conversations.select(key_of("conv_id").alias("c"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
+    """(c, b, pos, n, role, text, t1, t2): position from 1, turns of the conversation, and hashes of the turn."""
+    rows = conversations.select(key_of(conversations, "conv_id").alias("c"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
     rows = rows.withColumn("b", F.coalesce(F.floor(F.col("turn") / s.block), F.lit(NULL_ID)))
     earlier = Window.partitionBy("c").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("c")
@@ -42,12 +45,17 @@ def _turns(conversations: DataFrame, s: Settings) -> DataFrame:
     inside = Window.partitionBy("c", "b").orderBy(F.asc_nulls_first("turn"), F.asc_nulls_first("role"), F.asc_nulls_first("text"))
     placed = rows.join(counts, ["c", "b"]).withColumn("pos", F.col("before") + F.row_number().over(inside))
     parts = [F.col("pos"), F.col("role").isNull(), F.coalesce("role", F.lit("")), F.col("text").isNull(), F.coalesce("text", F.lit(""))]
-    placed = placed.withColumns({f"t{i}": F.xxhash64(F.lit(i), *parts) for i in (1, 2)})
+    return placed.select("c", "b", "pos", "n", "role", "text", *(F.xxhash64(F.lit(i), *parts).alias(f"t{i}") for i in (1, 2)))
+
+
+def _prefixes(placed: DataFrame) -> DataFrame:
+    """(c, pos, n, p1, p2): the rolling hashes of each turn's prefix, from the hashes of turns alone."""
+    earlier = Window.partitionBy("c").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     sums = placed.groupBy("c", "b").agg(F.bit_xor("t1").alias("s1"), F.bit_xor("t2").alias("s2"))
     sums = sums.select("c", "b", *(F.coalesce(F.bit_xor(f"s{i}").over(earlier), F.lit(0).cast("long")).alias(f"e{i}") for i in (1, 2)))
     running = Window.partitionBy("c", "b").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    out = placed.join(sums, ["c", "b"])
-    return out.select("c", "pos", "n", "role", "text", *(F.bit_xor(f"t{i}").over(running).bitwiseXOR(F.col(f"e{i}")).alias(f"p{i}") for i in (1, 2)))
+    out = placed.select("c", "b", "pos", "n", "t1", "t2").join(sums, ["c", "b"])
+    return out.select("c", "pos", "n", *(F.bit_xor(f"t{i}").over(running).bitwiseXOR(F.col(f"e{i}")).alias(f"p{i}") for i in (1, 2)))
 
 
 def maximal(turns: DataFrame) -> DataFrame:
@@ -66,8 +74,9 @@ def render(role: Column, text: Column, s: Settings) -> Column:
 
 def format_chats(conversations: DataFrame, s: Settings = Settings()) -> DataFrame:
     """(conv_id, segment, n_turns, n_copies, n_segment_turns, rendered) of maximal conversations."""
-    turns = _turns(conversations, s)
-    kept = maximal(turns).withColumnRenamed("c", "k")
+    # written once: the hashes are found from narrow columns of it, and texts are read again for what is kept only
+    turns = Table(_turns(conversations, s), "turns").df
+    kept = maximal(Table(_prefixes(turns), "prefixes").df).withColumnRenamed("c", "k")
     rows = turns.join(kept.select("k", "copies"), F.col("c") == F.col("k"))
     rows = rows.select("c", "copies", "n", "pos", F.floor((F.col("pos") - 1) / s.segment).alias("segment"), render(F.col("role"), F.col("text"), s).alias("r"))
     out = rows.groupBy("c", "segment").agg(F.first("n").alias("n_turns"), F.first("copies").alias("n_copies"), F.count("*").alias("n_segment_turns"), F.array_sort(F.collect_list(F.struct("pos", "r"))).alias("t"))
