@@ -58,14 +58,31 @@ def listed(options: dict[str, str], suffix: str) -> list[tuple[str, int]]:
     return sorted((scheme + f.path, f.size) for f in found if f.is_file and f.path.endswith(suffix))
 
 
-@dataclass
-class Range(InputPartition):
+@dataclass(frozen=True)
+class Range:
     path: str
     start: int
     end: int
     size: int
 
 
-def ranges(archives: list[tuple[str, int]], each: int) -> list[Range]:
-    """Ranges of the archives' bytes; of none, one empty range, as Spark wants a partition."""
-    return [Range(p, a, min(size, a + each), size) for p, size in archives for a in range(0, size, each)] or [Range("", 0, 0, 0)]
+@dataclass
+class Ranges(InputPartition):
+    items: list[Range]
+
+
+def ranges(archives: list[tuple[str, int]], each: int, tasks: int = 64, most: int = 128 << 20) -> list[Ranges]:
+    """Ranges of the archives' bytes, in partitions: up to ``most`` bytes of ranges each, less where the archives would
+    make fewer than so many tasks, so that partitions grow with the input before their number does. Of no archives, one
+    empty partition, as Spark wants one."""
+    pack = max(each, min(most, sum(size for _, size in archives) // tasks))
+    out, held = [Ranges([])], 0
+    for p, size in archives:
+        for a in range(0, size, each):
+            one = Range(p, a, min(size, a + each), size)
+            if held + one.end - a > pack and out[-1].items:
+                out.append(Ranges([]))
+                held = 0
+            out[-1].items.append(one)
+            held += one.end - a
+    return out

@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader
 
-from .archive_io import MANIFEST, listed, manifest_of, place, ranges, write_file
-from .common import prepare, shared_dir
+from .archive_io import MANIFEST, Range, listed, manifest_of, place, ranges, write_file
+from .common import integral, prepare, shared_dir
 
 _SIGN = b"\x89PNG\r\n\x1a\n"
 
@@ -132,7 +132,7 @@ def write(docs: DataFrame, s: Settings = Settings(), folder: str | None = None,
         if n:
             yield store()
 
-    return manifest_of(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, MANIFEST), "media-manifest")
+    return manifest_of(docs.select(integral(docs, id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, MANIFEST), "media-manifest")
 
 
 @dataclass(frozen=True)
@@ -201,12 +201,17 @@ class MediaReader(DataSourceReader):
         return ranges(listed(self.options, ".zip"), self.each)
 
     def read(self, part) -> Iterator[pa.RecordBatch]:
-        if not part.size:
-            return
-        opened = [self.open(part.path)]
-        members = self.again(opened, part.path, lambda f: directory(f, part.size))
+        known: tuple[str, list[Member]] = ("", [])
+        for one in part.items:
+            opened = [self.open(one.path)]
+            if known[0] != one.path:
+                known = one.path, self.again(opened, one.path, lambda f, one=one: directory(f, one.size))
+            yield from self.members(opened, one, known[1])
+            opened[0].close()
+
+    def members(self, opened: list, part: Range, directory: list[Member]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        for m in members:
+        for m in directory:
             if part.start <= m.offset < part.end:
                 try:
                     data, error = self.again(opened, part.path, lambda f, m=m: read_member(f, m)), None
@@ -219,7 +224,6 @@ class MediaReader(DataSourceReader):
                 if size >= self.batch:
                     yield self.rows_of(held)
                     held, size = [], 0
-        opened[0].close()
         if held:
             yield self.rows_of(held)
 

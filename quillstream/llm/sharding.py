@@ -102,7 +102,7 @@ def shard(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", tex
     """One row per row of docs: doc_id, size, text_crc32, law, shard, slot, grown_shard (null), curve."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     meta = docs.select(
-        key_of(id_col).alias("k"), F.octet_length(text).cast("long").alias("bytes"), F.crc32(text.cast("binary")).alias("crc"),
+        key_of(docs, id_col).alias("k"), F.octet_length(text).cast("long").alias("bytes"), F.crc32(text.cast("binary")).alias("crc"),
         *(F.col(c).cast("string").alias(f"d{i}") for i, c in enumerate(s.strings)),
     )
     meta = Table(meta, "shard-meta").df
@@ -145,7 +145,7 @@ def shard(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", tex
 def write_shards(docs: DataFrame, path: str, s: Settings = Settings(), files_each: int = 4) -> None:
     """Writes docs as Parquet under shard=N folders in slot order. docs' ids must be unique for this join."""
     placed = shard(docs, s).select(F.col("doc_id").alias("_id"), "shard", "slot")
-    out = docs.join(placed, key_of("doc_id") == F.coalesce("_id", F.lit(NULL_ID)))
+    out = docs.join(placed, key_of(docs, "doc_id") == F.coalesce("_id", F.lit(NULL_ID)))
     out = out.repartitionByRange(s.shards * files_each, "shard", "slot").sortWithinPartitions("shard", "slot")
     out.drop("_id").write.partitionBy("shard").parquet(path)
 

@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader
 
-from .archive_io import MANIFEST, listed, manifest_of, place, ranges, write_file
-from .common import prepare, shared_dir
+from .archive_io import MANIFEST, Range, listed, manifest_of, place, ranges, write_file
+from .common import integral, prepare, shared_dir
 
 _MAGIC = b"\x1f\x8b\x08"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -93,7 +93,7 @@ def write(pages: DataFrame, s: Settings = Settings(), folder: str | None = None)
     spark = pages.sparkSession
     prepare(spark)
     folder = folder or f"{shared_dir(spark)}/quillstream/warc"
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
+    rows = pages.select(integral(pages, "page_id").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     rows = rows.withColumn("sha", F.sha1(F.col("html").cast("binary")))
     first = rows.where(F.octet_length("html") >= s.least).groupBy("sha").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").select(F.col("sha").alias("same"), "first")
     linked = rows.join(first, F.col("sha") == F.col("same"), "left")
@@ -193,8 +193,10 @@ class WarcReader(DataSourceReader):
         return ranges(listed(self.options, ".warc.gz"), self.each)
 
     def read(self, part) -> Iterator[pa.RecordBatch]:
-        if not part.size:
-            return
+        for one in part.items:
+            yield from self.records(one)
+
+    def records(self, part: Range) -> Iterator[pa.RecordBatch]:
         held, size, done, tries = [], 0, part.start, 0
         file = _File(part.path, part.size, self.read_bytes)
         while True:
