@@ -150,8 +150,8 @@ def test_words_longer_than_a_piece():
     from quillstream.llm.words import hash_words
 
     texts = [b"a" * 300 + b" b", b"", None, b"b\tccc\n" + b"d" * 90]
-    whole, counts = hash_words(texts)
-    small, again = hash_words(texts, piece=16)
+    (whole,), counts = hash_words(texts)
+    (small,), again = hash_words(texts, piece=16)
     assert whole.tolist() == small.tolist() and counts.tolist() == again.tolist() == [2, 0, 0, 3]
     assert whole[1] == whole[2]
 

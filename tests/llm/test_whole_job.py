@@ -5,10 +5,11 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quillstream.llm import secrets, sharding, simhash, substring, toxicity
+from quillstream.llm import secrets, sharding, simhash, substring, toxicity, words
 from tests.llm.conftest import prose
 from tests.llm.test_large_operators import slow_components, slow_dedup, slow_print
 from tests.llm.test_small_operators import RSA
@@ -73,3 +74,54 @@ def test_private_keys_of_any_line_width(width):
     assert (4, 4 + len(key), "pem") in secrets.spans(f"key {key} end")
     assert secrets.redact(f"key {key} end") == "key [REDACTED:pem] end"
     assert secrets.spans("-----BEGIN PRIVATE KEY-----\nnot a key\n-----END PRIVATE KEY-----") == []
+
+
+@pytest.mark.parametrize("fan", [2, 3])
+def test_levels_of_dealing(spark, make_docs, corpus, fan):
+    """More buckets than a level deals, and few entries settled together: as brute force says."""
+    s = substring.Settings(stretch=3000, bucket_bytes=2500, fan=fan, entries=300)
+    docs = make_docs(corpus)
+    assert substring._width(s, substring.buckets_for(docs.select("text"), s.bucket_bytes)) > 1
+    out = substring.dedup(docs, s).collect()
+    assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept) for r in out) == slow_dedup(corpus, 20)
+
+
+def test_a_line_of_every_document(spark, make_docs):
+    """What repeats inside a stretch is settled there: a common line sends a bucket one entry for each stretch."""
+    rng = random.Random(12)
+    line = prose(rng, 25, 5000)
+    rows = [(i, f"{prose(rng, i % 7, 5000)} {line} {prose(rng, 30, 5000)}") for i in range(400)]
+    out = substring.dedup(make_docs(rows).repartition(3), substring.Settings(stretch=4000)).collect()
+    assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept) for r in out) == slow_dedup(rows, 20)
+    kind = substring._Blocks(8)
+    n = 1000
+    own = np.arange(n) % 10 == 0
+    e = {"value": np.full(n, 7 << 30, np.uint64), "state": own.astype(np.uint8), "ref": (np.cumsum(own) - 1).astype(np.int32)}
+    e |= {c: np.arange(n)[own].astype(t) for c, t in kind.found}
+    left, found = kind.settle(e)
+    assert left["value"].tolist() == [7 << 30] and left["state"].tolist() == [2] and found["k"].tolist() == list(range(0, n, 10))
+
+
+def test_words_made_to_collide(spark, make_docs):
+    """Words that defeat a polynomial modulo 2**64 are told apart."""
+    a, b = "a", "b"
+    for _ in range(11):
+        a, b = a + b, b + a
+    rows = [(1, " ".join(["x", a] * 10)), (2, " ".join(["x", b] * 10)), (3, " ".join(["x", a] * 10))]
+    out = substring.dedup(make_docs(rows)).collect()
+    assert {(r.doc_id, r.n_removed) for r in out} == {(1, 0), (2, 0), (3, 20)}
+    rng = random.Random(1)
+    texts = [" ".join("".join(rng.choices("abé", k=rng.randrange(1, 40))) for _ in range(200)).encode() for _ in range(5)]
+    one, n = words.hash_words(texts, 2)
+    small, m = words.hash_words(texts, 2, piece=50)
+    flat = [w for t in texts for w in t.split()]
+    assert n.tolist() == m.tolist() == [200] * 5 and all((x == y).all() for x, y in zip(one, small))
+    for lane in one:
+        assert len(dict(zip(flat, lane.tolist()))) == len(set(lane.tolist())) == len(set(zip(flat, lane.tolist())))
+
+
+def test_texts_are_dealt_once(spark, make_docs, corpus):
+    out = substring.dedup(make_docs(corpus))
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan and "BroadcastExchange" not in plan
