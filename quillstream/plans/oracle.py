@@ -166,14 +166,14 @@ SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1)::BIGINT
 u AS (SELECT doc_id, lv, unnest(range(0, 7)) AS i FROM h),
 j AS (SELECT u.doc_id, u.i, r.j FROM u, range(0, 7) r(j) WHERE r.j <= u.i AND (r.j = u.i OR len(list_filter(u.lv[r.j + 2 : u.i + 1], lambda x: x <= u.lv[r.j + 1])) = 0))
 SELECT doc_id, i::BIGINT AS heading, string_agg('H' || j, ' > ' ORDER BY j) AS path FROM j GROUP BY doc_id, i""",
-    "q28_table_linearise": """SELECT doc_id, array_to_string(list_transform(range(0, 4), lambda i: array_to_string(w[i * 3 + 1 : i * 3 + 3], ' | ')), chr(10)) AS table_text
+    "q28_table_linearise": """SELECT doc_id, array_to_string(list_transform(range(0, (len(w) + 2) // 3), lambda i: array_to_string(w[i * 3 + 1 : i * 3 + 3], ' | ')), chr(10)) AS table_text
 FROM (SELECT doc_id, string_split(coalesce(text, ''), ' ') AS w FROM documents)""",
     "q29_proportional_pages": """WITH p AS (SELECT doc_id, coalesce(text, '') AS t, doc_id % 5 + 1 AS n, unnest(range(0, doc_id % 5 + 1)) AS i FROM documents),
 q AS (SELECT doc_id, i, CASE WHEN i < n - 1 THEN substr(t, i * greatest(1, length(t) // n) + 1, greatest(1, length(t) // n)) ELSE substr(t, i * greatest(1, length(t) // n) + 1) END AS page FROM p)
 SELECT doc_id, i::BIGINT AS page, length(page)::BIGINT AS n_chars, md5(page) AS page_md5 FROM q""",
-    "q30_span_pages": """SELECT doc_id, md5(array_to_string(list_transform(range(0, 5), lambda i: CASE WHEN (doc_id + i * 31) % 120 > 10 THEN substr(coalesce(text, ''), i * 100 + 1, (doc_id + i * 31) % 120 - 10) ELSE '' END), '')) AS page_md5 FROM documents""",
+    "q30_span_pages": """SELECT doc_id, md5(array_to_string(list_transform(range(0, length(coalesce(text, '')) // 100 + 1), lambda i: CASE WHEN (doc_id + i * 31) % 120 > 10 THEN substr(coalesce(text, ''), i * 100 + 1, (doc_id + i * 31) % 120 - 10) ELSE '' END), '')) AS page_md5 FROM documents""",
     "q31_upsert_merge": """WITH o AS (SELECT vec_id, label::BIGINT AS label, len(embedding)::BIGINT AS dims, 'old' AS version FROM embeddings WHERE vec_id % 3 <> 0),
-n AS (SELECT vec_id, CASE WHEN vec_id % 4 <> 0 THEN label::BIGINT + 1000 END AS label, len(embedding)::BIGINT AS dims, 'new' AS version FROM embeddings WHERE vec_id % 2 = 0 AND vec_id % 10 <> 0)
+n AS (SELECT vec_id, CASE WHEN vec_id % 4 <> 0 THEN label::BIGINT + 1000 END AS label, len(embedding)::BIGINT AS dims, 'new' AS version FROM embeddings WHERE vec_id % 3 = 0 OR vec_id % 2 = 0)
 SELECT coalesce(n.vec_id, o.vec_id) AS vec_id, coalesce(n.label, o.label) AS label, coalesce(n.dims, o.dims) AS dims, coalesce(n.version, o.version) AS version FROM o FULL JOIN n ON o.vec_id = n.vec_id""",
     "q32_delete_document": f"WITH {FILES} SELECT doc_id, path AS file_path FROM files WHERE path NOT IN (SELECT path FROM files WHERE doc_id % 6 = 0)",
     "q33_orphan_delete_compat": """WITH r AS (SELECT doc_id, (CASE WHEN doc_id % 2 = 0 THEN 'wiki/' ELSE 'sharepoint/' END) || 'doc_' || doc_id // 2 || '.md' AS file_path FROM documents)
@@ -192,6 +192,12 @@ SELECT vec_id, string_agg(CASE WHEN hi > lo THEN (floor((x - lo) / (hi - lo) * 2
 t AS (SELECT *, CASE WHEN gate IS NOT NULL THEN gate WHEN ext = '.docx' THEN 'BadZipFile' WHEN {_strip("coalesce(full_text, '')")} = '' THEN 'no_text_extracted' WHEN doc_id % 12 = 0 THEN 'no_chunks_produced' END AS reason FROM s)
 SELECT path AS file_path, CASE WHEN gate IS NULL AND ext = '.docx' THEN 'error' WHEN reason IS NULL THEN 'success' ELSE 'skipped' END AS status,
        CASE WHEN gate IS NULL AND ext = '.docx' THEN 'parse' END AS stage, reason, length(full_text)::BIGINT AS chars_extracted FROM t""",
+    "q43_decode_lossy": """WITH b AS (SELECT doc_id, text, CASE WHEN doc_id % 5 = 0 THEN hex(encode(text)) || 'FF41' END AS h FROM documents),
+d AS (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN array_to_string(list_transform(range(0, length(h) // 2), lambda i: chr(('0x' || h[2 * i + 1 : 2 * i + 2])::INTEGER)), '') ELSE text END AS t FROM b)
+SELECT doc_id, md5(coalesce(t, '')) AS text_md5, length(t)::BIGINT AS n_chars FROM d""",
+    "q44_service_routes": f"""WITH {CUTS}, n AS (SELECT doc_id, count(*) AS n FROM pieces GROUP BY doc_id),
+r AS (SELECT doc_id, CASE WHEN {_strip("coalesce(text, '')")} = '' THEN 'none' WHEN length(text) > 5120 THEN 'pieces' ELSE 'batch' END AS route FROM documents)
+SELECT r.doc_id, route, CASE route WHEN 'none' THEN 0 WHEN 'pieces' THEN n.n ELSE 1 END::BIGINT AS n_pieces FROM r LEFT JOIN n ON n.doc_id = r.doc_id""",
     "q42_fold_runs": "SELECT doc_id, ceil(n / 7.0)::BIGINT AS runs, least(n, 7)::BIGINT AS longest FROM (SELECT doc_id, len(string_split(coalesce(text, ''), chr(10))) AS n FROM documents)",
 }
 

@@ -175,7 +175,6 @@ def q22_threshold_allowlist(spark, d):
 
 def _pieces(spark, d):
     docs = table(spark, d, "documents").where(F.length("text") > SMALL.pii_max_chars)
-    ship(spark)
     return pii.pieces(docs).select("doc_id", F.posexplode("pieces").alias("piece", "p"))
 
 
@@ -208,7 +207,8 @@ def q27_section_paths(spark, d):
 
 def q28_table_linearise(spark, d):
     words = F.split(F.coalesce("text", F.lit("")), " ", -1)
-    rows = F.transform(F.sequence(F.lit(1), F.lit(3)), lambda i: F.slice(words, i * 3 + 1, 3))
+    # all words, three to a row; the first row has the headers
+    rows = F.filter(F.transform(F.sequence(F.lit(0), F.floor((F.size(words) - 1) / 3).cast("int")), lambda i: F.slice(words, i * 3 + 1, 3)), lambda _, i: i > 0)
     return table(spark, d, "documents").select("doc_id", parse.linearise(F.slice(words, 1, 3), rows).alias("table_text"))
 
 
@@ -219,14 +219,16 @@ def q29_proportional_pages(spark, d):
 
 
 def q30_span_pages(spark, d):
-    spans = F.transform(F.sequence(F.lit(0), F.lit(4)), lambda i: F.struct((i * 100).alias("offset"), ((F.col("doc_id") + i * 31) % 120 - 10).cast("int").alias("length")))
+    # a span every 100 characters of the whole text
+    spans = F.transform(F.sequence(F.lit(0), F.floor(F.length(F.coalesce("text", F.lit(""))) / 100).cast("int")), lambda i: F.struct((i * 100).alias("offset"), ((F.col("doc_id") + i * 31) % 120 - 10).cast("int").alias("length")))
     return table(spark, d, "documents").select("doc_id", _md5(parse.span_text(F.coalesce("text", F.lit("")), spans)).alias("page_md5"))
 
 
 def _versions(spark, d):
     rows = table(spark, d, "embeddings").select("vec_id", F.col("label").cast("long").alias("label"), F.size("embedding").cast("long").alias("dims"), F.lit("old").alias("version"))
     new = rows.withColumn("label", F.when(F.col("vec_id") % 4 != 0, F.col("label") + 1000)).withColumn("version", F.lit("new"))
-    return rows.where("vec_id % 3 <> 0"), new.where("vec_id % 2 = 0 and vec_id % 10 <> 0")
+    # every vec_id is in the first version, the second or both
+    return rows.where("vec_id % 3 <> 0"), new.where("vec_id % 3 = 0 or vec_id % 2 = 0")
 
 
 def q31_upsert_merge(spark, d):
@@ -309,6 +311,20 @@ def q41_ingest_chunks(spark, d):
     return ingest.chunks(ingest.documents(files), SMALL).drop("ingested_at")
 
 
+def q43_decode_lossy(spark, d):
+    """Texts whose bytes are damaged: one in five bytes of the first kind is no UTF-8."""
+    raw = F.when(F.col("doc_id") % 5 == 0, F.concat(F.encode("text", "UTF-8"), F.unhex(F.lit("FF41")))).otherwise(F.encode("text", "UTF-8"))
+    return table(spark, d, "documents").select("doc_id", _md5(t.decode_text(raw)).alias("text_md5"), F.length(t.decode_text(raw)).cast("long").alias("n_chars"))
+
+
+def q44_service_routes(spark, d):
+    """Which call of a recogniser's service takes each text: blank ones none, short ones by five, long ones by pieces."""
+    text = F.coalesce("text", F.lit(""))
+    n = F.size(pii.text_pieces(text, SMALL))
+    route = F.when(t.is_blank(text), "none").when(F.length(text) > SMALL.pii_max_chars, "pieces").otherwise("batch")
+    return table(spark, d, "documents").select("doc_id", route.alias("route"), F.when(route == "none", 0).otherwise(n).cast("long").alias("n_pieces"))
+
+
 def q42_fold_runs(spark, d):
     """Packing with a limit on items alone: runs of at most 7 lines, whatever their tokens."""
     rows = views.lines(table(spark, d, "documents")).withColumn("ones", F.transform("lines", lambda _: F.lit(1).cast("long")))
