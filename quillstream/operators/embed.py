@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import time
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -14,6 +17,7 @@ from ..config import Settings
 from ..functions import folds
 from ..functions.text import TOKEN, token_count
 from ..ship import ship
+from .remote import Quota, Retry, call
 
 EMPTY = "[empty]"
 
@@ -42,12 +46,18 @@ def batches(sizes: Column, s: Settings = Settings()) -> Column:
     return folds.pack(sizes, s.embed_batch_tokens, s.embed_batch, alone=True)
 
 
+@lru_cache(maxsize=1 << 16)
+def _hashed(word: str, dimensions: int) -> tuple[int, int]:
+    h = hashlib.blake2b(word.encode(), digest_size=8).digest()
+    return int.from_bytes(h[:6], "little") % dimensions, 1 if h[7] & 1 else -1
+
+
 def hash_vector(text: str, dimensions: int) -> np.ndarray:
     """A unit vector from hashed words: equal texts get equal vectors, texts that share words are near."""
     out = np.zeros(dimensions, np.float64)
-    for word in text.lower().split():
-        h = hashlib.blake2b(word.encode(), digest_size=8).digest()
-        out[int.from_bytes(h[:6], "little") % dimensions] += 1 if h[7] & 1 else -1
+    for word, n in Counter(text.lower().split()).items():
+        place, sign = _hashed(word, dimensions)
+        out[place] += sign * n
     norm = np.sqrt(out.dot(out))
     return (out / norm if norm else out).astype(np.float32)
 
@@ -62,8 +72,41 @@ class HashModel:
         return [(i, hash_vector(t, self.dimensions).tolist()) for i, t in enumerate(texts)]
 
 
+class Service:
+    """A remote model under a quota: waits before a batch as the quota says, tries again after errors that may pass and
+    after bad answers, and learns the quota from the answers' headers.
+
+    client(texts) -> (list of (index, vector), headers). callers: how many tasks call at once, which Spark knows.
+    """
+
+    def __init__(self, client, callers: int = 1, retry: Retry = Retry(every_error=True), sleep=time.sleep, size=len):
+        self.client, self.retry, self.sleep, self.size, self.quota = client, retry, sleep, size, Quota(callers=callers)
+
+    def embed(self, texts: list[str]) -> list[tuple[int, list[float]]]:
+        n = sum(map(self.size, texts))
+
+        def ask():
+            wait = self.quota.throttle(n)
+            if wait:
+                self.sleep(wait)
+            found, headers = self.client(texts)
+            self.quota.read(headers)
+            return answered(found, len(texts))
+
+        began = time.monotonic()
+        out = call(ask, self.retry, self.sleep)
+        left = self.quota.pace(n) - (time.monotonic() - began)
+        if left > 0:
+            self.sleep(left)
+        return out
+
+
 def embed(chunks: DataFrame, model=None, s: Settings = Settings(), text_col: str = "chunk_content") -> DataFrame:
-    """Adds content_vector, null where the model failed for a batch. Texts are sanitised and cut first."""
+    """Adds content_vector, null where the model failed for a batch. Texts are sanitised and cut first.
+
+    Batches are made of the rows of an Arrow batch, so which texts go together also depends on its size, but no vector
+    does. model has embed(texts) -> list of (index, vector), as HashModel and Service have.
+    """
     model = model or HashModel(s.dimensions)
     ship(chunks.sparkSession)
     most, limit = s.embed_batch, s.embed_batch_tokens
@@ -85,8 +128,8 @@ def embed(chunks: DataFrame, model=None, s: Settings = Settings(), text_col: str
 
 
 def answered(vectors: list[tuple[int, list[float]]], n: int) -> list[tuple[int, list[float]]]:
-    if len(vectors) != n:
-        raise ValueError(f"{n} texts, {len(vectors)} vectors")
+    if sorted(i for i, _ in vectors) != list(range(n)):
+        raise ValueError(f"{n} texts, vectors of {[i for i, _ in vectors]}")
     return vectors
 
 

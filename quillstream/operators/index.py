@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..config import Settings
 from ..functions.text import basename, breadcrumb
+from .embed import embed
 
 
 def _field(name: str, kind: T.DataType, *roles: str, null: bool = True) -> T.StructField:
@@ -20,12 +22,13 @@ def _field(name: str, kind: T.DataType, *roles: str, null: bool = True) -> T.Str
 
 
 SCHEMA = T.StructType([
-    _field("id", T.StringType(), "key", null=False), _field("chunk_content", T.StringType(), "search", "semantic_content"),
-    _field("content_vector", T.ArrayType(T.FloatType()), "vector"), _field("document_title", T.StringType(), "search", "semantic_title"),
-    _field("source_url", T.StringType()), _field("source_type", T.StringType(), "filter", "facet"), _field("file_name", T.StringType(), "filter"),
-    _field("breadcrumb", T.StringType(), "search", "filter", "semantic_keywords"), _field("chunk_index", T.IntegerType(), "sort"), _field("total_chunks", T.IntegerType()),
-    _field("page_number", T.IntegerType(), "filter"), _field("last_modified", T.TimestampType(), "filter", "sort"), _field("ingested_at", T.TimestampType(), "filter", "sort"),
-    _field("pii_redacted", T.BooleanType(), "filter"), _field("file_path", T.StringType(), "internal"),
+    _field("id", T.StringType(), "key", "filter", null=False), _field("chunk_content", T.StringType(), "search", "semantic_content"),
+    _field("content_vector", T.ArrayType(T.FloatType()), "vector"), _field("document_title", T.StringType(), "search", "filter", "sort", "semantic_title"),
+    _field("source_url", T.StringType(), "filter"), _field("source_type", T.StringType(), "filter", "facet", "semantic_keywords"),
+    _field("file_name", T.StringType(), "filter", "facet", "semantic_keywords"),
+    _field("breadcrumb", T.StringType(), "search", "filter", "semantic_keywords"), _field("chunk_index", T.IntegerType(), "filter", "sort"), _field("total_chunks", T.IntegerType(), "filter"),
+    _field("page_number", T.IntegerType(), "filter", "sort"), _field("last_modified", T.TimestampType(), "filter", "sort"), _field("ingested_at", T.TimestampType(), "filter", "sort"),
+    _field("pii_redacted", T.BooleanType(), "filter", "facet"), _field("file_path", T.StringType(), "internal"),
 ])
 
 
@@ -88,6 +91,12 @@ def search(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id
     return out if out is not None else spark.createDataFrame([], "query_id long, id long, score double, rank int")
 
 
+def text_queries(queries: DataFrame, model, s: Settings = Settings(), text_col: str = "query_text") -> DataFrame:
+    """(query_id, query) of queries given as text: the same sanitising, cutting and model as for chunks."""
+    made = embed(queries.select("query_id", F.col(text_col).alias("chunk_content")), model, s)
+    return made.select("query_id", F.col("content_vector").alias("query"))
+
+
 def quantise(vectors: DataFrame, vector_col: str = "embedding") -> DataFrame:
     """Adds codes: each dimension's range over all rows cut into 256 steps, from -128 to 127."""
     each = vectors.select(F.posexplode(vector_col).alias("d", "x")).groupBy("d").agg(F.min("x").cast("double").alias("lo"), F.max("x").cast("double").alias("hi"))

@@ -57,8 +57,13 @@ class Quota:
     """What a service has said about its limits, and the waits that follow."""
 
     callers: int = 1
+    # The share held back, tokens a minute where no limit was said, the shortest and longest wait for
+    # tokens, and the wait where requests run out.
     reserve: float = 0.2
-    fallback: int = 240_000  #: tokens a minute
+    fallback: int = 240_000
+    shortest: float = 0.5
+    longest: float = 60.0
+    few_requests: float = 2.0
     tokens: int | None = None
     requests: int | None = None
     limit: int | None = None
@@ -76,8 +81,8 @@ class Quota:
         if self.tokens is not None and batch > 0:
             short = batch * (1 + self.reserve) - self.tokens / max(1, self.callers)
             if short > 0:
-                wait = min(60.0, max(0.5, short / max(1.0, (self.limit or self.fallback) / 60)))
-        return wait + (2.0 if self.requests is not None and self.requests < 2 else 0.0)
+                wait = min(self.longest, max(self.shortest, short / max(1.0, (self.limit or self.fallback) / 60)))
+        return wait + (self.few_requests if self.requests is not None and self.requests < 2 else 0.0)
 
     def pace(self, batch: int) -> float:
         """Seconds of this caller's share that a batch has used."""

@@ -33,17 +33,24 @@ def documents(files: DataFrame, meta: DataFrame | None = None, s: Settings = Set
     return parsed.withColumn("pages", F.transform(labelled, lambda t: F.struct(t.alias("label"), token_count(t).alias("tokens"))))
 
 
-def scanned(docs: DataFrame, s: Settings = Settings(), entities=None) -> DataFrame:
-    """Redacted chunks of the documents that pass the gates. entities(chunks) may give another recogniser's column."""
+def scanned(docs: DataFrame, s: Settings = Settings(), entities=None, service=None) -> DataFrame:
+    """Redacted chunks of the documents that pass the gates. entities(chunks) may give another recogniser's column, or a
+    service may find them."""
     ready = docs.where(metadata.skip_reason(F.col("source_type"), F.col("source_url")).isNull() & F.col("parse_error").isNull())
     cut = chunking.chunk(ready, s)
-    return pii.scan(cut, s, entities=entities(cut) if entities else None)
+    return pii.scan(cut, s, entities=entities(cut) if entities else None, service=service)
 
 
-def chunks(docs: DataFrame, s: Settings = Settings(), model=None, entities=None) -> DataFrame:
+def chunks(docs: DataFrame, s: Settings = Settings(), model=None, entities=None, service=None) -> DataFrame:
     """Redacted and embedded chunks. Under the halt policy no text of a document that could not be scanned is embedded."""
-    found = scanned(docs, s, entities)
-    return embed.embed(found if entities is None else pii.apply_policy(found, s), model or embed.HashModel(s.dimensions), s)
+    found = scanned(docs, s, entities, service)
+    plain = entities is None and service is None  # the rules do not fail
+    return embed.embed(found, model or embed.HashModel(s.dimensions), s) if plain else embedded(found, s, model)
+
+
+def embedded(found: DataFrame, s: Settings = Settings(), model=None) -> DataFrame:
+    """Scanned chunks with vectors, under the policy."""
+    return embed.embed(pii.apply_policy(found, s), model or embed.HashModel(s.dimensions), s)
 
 
 def status(docs: DataFrame, made: DataFrame, halted: DataFrame | None = None) -> DataFrame:
@@ -67,9 +74,14 @@ def status(docs: DataFrame, made: DataFrame, halted: DataFrame | None = None) ->
     )
 
 
+def letters(failed: DataFrame) -> DataFrame:
+    """(file_path, stage, reason) as error records."""
+    return failed.select(F.col("file_path").alias("blob_path"), F.concat_ws(": ", "stage", "reason").alias("error"), F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"))
+
+
 def dead_letters(found: DataFrame) -> DataFrame:
     """Documents that failed, as error records."""
-    return found.where("status = 'error'").select(F.col("file_path").alias("blob_path"), F.concat_ws(": ", "stage", "reason").alias("error"), F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"))
+    return letters(found.where("status = 'error'"))
 
 
 def upsert(store: index.Store, made: DataFrame, batch: int) -> None:

@@ -15,7 +15,7 @@ _ITEM = "struct<url: string, contentType: string, contentLength: bigint, data: s
 def unwrap(messages: DataFrame, column: str = "value") -> DataFrame:
     """A row for each notification of each message: an object or a list, each bare or under ``data``.
 
-    Messages that are no JSON, and items that are no objects, give no row.
+    Items that are no objects give no row, and messages that are no JSON none with a url; malformed() has both.
     """
     text = F.ltrim(F.col(column))
     listed = F.when(text.startswith("["), F.from_json(text, f"array<{_ITEM}>")).otherwise(F.array(F.from_json(text, _ITEM)))
@@ -24,6 +24,14 @@ def unwrap(messages: DataFrame, column: str = "value") -> DataFrame:
     return rows.withColumn("_one", fields).select(*messages.columns, F.col("_one.url").alias("url"), F.col("_one.contentType").alias("content_type"), F.col("_one.contentLength").alias("content_length"))
 
 
+def malformed(messages: DataFrame, column: str = "value") -> DataFrame:
+    """Messages that are no JSON, or hold an item without a url, with a reason."""
+    text = F.ltrim(F.col(column))
+    listed = F.when(text.startswith("["), F.from_json(text, f"array<{_ITEM}>")).otherwise(F.array(F.from_json(text, _ITEM)))
+    none = listed.isNull() | F.exists(listed, lambda x: F.coalesce(x.data.url, x.url).isNull())
+    return messages.where(F.col(column).isNull() | none).withColumn("reason", F.lit("malformed message"))
+
+
 def blob_path(url: Column, container: str) -> Column:
     """What follows the first ``/container/``; null without one."""
     mark = f"/{container}/"

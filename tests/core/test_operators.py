@@ -1,6 +1,8 @@
 """Operators that SQL does not cover, and edge cases of those that it does."""
 
 import io
+import json
+import re
 import random
 import zipfile
 
@@ -111,13 +113,144 @@ def test_overlapping_entities_and_reports(spark):
     assert (r.score, r.end, r.text_preview) == (0.812, 5, "y" * 20 + "...")
 
 
-def test_long_text_cuts():
+def slow_cut(text, most):
+    """Pieces by the rule: the rest if it fits, else through the last space after the first character, else as many as fit."""
+    if len(text) <= most:
+        return [text] if text else []
+    space = text[:most].rfind(" ")
+    n = space + 1 if space > 0 else most
+    return [text[:n], *slow_cut(text[n:], most)]
+
+
+def test_long_text_cuts(spark):
     rng = random.Random(3)
-    for _ in range(30):
-        text = "".join(rng.choice("ab ") for _ in range(rng.randrange(0, 400)))
-        starts = pii.cuts(text, 50)
-        parts = [text[a:b] for a, b in zip(starts, [*starts[1:], len(text)])]
-        assert "".join(parts) == text and all(len(p) <= 50 for p in parts)
+    texts = ["".join(rng.choice("ab é\n😀" if i % 2 else "ab  ") for _ in range(rng.randrange(0, 400))) for i in range(60)] + ["x" * 170, " " * 120, "x" * 49 + " " + "y" * 60]
+    for r in spark.createDataFrame([(x,) for x in texts], "text string").select("text", pii.cut(F.col("text"), 50).alias("p")).collect():
+        assert list(r.p) == slow_cut(r.text, 50) and "".join(r.p) == r.text and all(len(p) <= 50 for p in r.p)
+
+
+class Recogniser:
+    """Finds capital words; fails for good on some texts, and for a while on others."""
+
+    def __init__(self):
+        self.seen = 0
+
+    def recognise(self, texts):
+        assert len(texts) <= 5
+        self.seen += 1
+        if any("broken" in x for x in texts):
+            raise ValueError("no")
+        if self.seen % 2:
+            raise Busy
+        return [[{"category": "Email", "offset": m.start(), "length": m.end() - m.start(), "score": 0.9, "text": m[0]} for m in re.finditer("[A-Z]{3,}", x)] for x in texts]
+
+
+def test_a_service_that_fails(spark):
+    s = Settings(pii_max_chars=60, pii_cut_chars=40)
+    long, part = ("word " * 20) + "ABCD " + ("more " * 20), "ABCD " + ("word " * 60) + ("broken " * 20)
+    rows = [(1, "an ABC"), (2, "  "), (3, None), (4, long), (5, part), (6, "broken"), (7, "XYZ"), *((10 + i, "DEF and") for i in range(9))]
+    df = spark.createDataFrame(rows, "n int, chunk_content string").coalesce(1)
+    got = {r.n: r for r in pii.scan(df, s, service=Recogniser(), retry=remote.Retry(base=0)).collect()}
+    assert {n: got[n].pii_status for n in (2, 3, 4, 5)} == {2: "ok", 3: "ok", 4: "ok", 5: "partial"}
+    assert [n for n in got if got[n].pii_status == "failed"] == [1, 6, 7, 10, 11]  # the five that went together
+    for n, text in rows:
+        if got[n].pii_status in ("ok", "partial") and text:
+            assert got[n].chunk_content == re.sub("[A-Z]{3,}", "[EMAIL REDACTED]", text)
+            assert [(e.start, e.end) for e in got[n].pii_entities] == [m.span() for m in re.finditer("[A-Z]{3,}", text)]
+
+
+def test_a_failing_service_stops_the_stream(spark, tmp_path):
+    class Down:
+        def recognise(self, texts):
+            raise ValueError("down")
+
+    (tmp_path / "in").mkdir()
+    store = index.Store(spark, f"file://{tmp_path}/index")
+    s = Settings(chunk_tokens=30, overlap_tokens=5, dimensions=16, pii_breaker=2)
+    for n in range(3):
+        (tmp_path / "in" / f"{n}.txt").write_text(f"text {n}")
+        q = runner.ingest_files(spark, f"file://{tmp_path}/in", store, f"{tmp_path}/check{n}", f"{tmp_path}/dead{n}", s, described, service=Down())
+        q.awaitTermination()
+        assert spark.read.json(f"{tmp_path}/dead{n}").where("error like 'pii_scan%'").count() == n + 1 and store.read().isEmpty()
+    b = runner.PiiBreaker(2)
+    b.see(0, 3)
+    with pytest.raises(RuntimeError):
+        b.see(0, 1)
+
+
+@pytest.mark.parametrize("mode", ["event", "queue"])
+def test_notified_files(spark, tmp_path, mode):
+    root, box = tmp_path / "in", tmp_path / "box"
+    (root / "wiki").mkdir(parents=True)
+    box.mkdir()
+    for name, body in {"wiki/a.Md": MD, "b.TXT": "mail x@y.zz", "big.txt": "z" * 3000, "never.txt": "not named"}.items():
+        (root / name).write_text(body)
+    one = lambda p: json.dumps({"url": f"https://s/raw-documents/{p}", "contentLength": 9})
+    lines = [one("wiki/a.Md"), '{"data": ' + one("b.TXT") + "}", one("big.txt"), one("gone.txt"), one("x.exe"), "no json"]
+    (box / "m.txt").write_text("\n".join(lines if mode == "event" else [f"[{lines[0]}, {lines[1]}]", *lines[2:]]))
+    store = index.Store(spark, f"file://{tmp_path}/index")
+    s = Settings(chunk_tokens=30, overlap_tokens=5, dimensions=16, max_file_bytes=2000)
+    q = runner.ingest_notified(spark, mode, str(box), f"file://{root}", store, f"{tmp_path}/check", f"{tmp_path}/dead", s, described)
+    q.awaitTermination()
+    assert q.exception() is None
+    assert {r.file_path for r in store.read().select("file_path").distinct().collect()} == {"wiki/a.Md", "b.TXT"}
+    errors = {r.blob_path: r.error for r in spark.read.option("recursiveFileLookup", "true").json(f"{tmp_path}/dead").collect()}
+    assert set(errors) == {"big.txt", "gone.txt", "no json"} and "exceeds" in errors["big.txt"] and errors["gone.txt"].startswith("read: ")
+    with pytest.raises(ValueError):
+        runner.ingest_notified(spark, "both", str(box), f"file://{root}", store, "c", "d")
+
+
+def test_extensions_in_any_case_and_sizes(spark, tmp_path):
+    for name in ("a.Pdf", "b.TXT", "c.md", "d.Txt", "e.eXe"):
+        (tmp_path / name).write_text("x" * (10 if name != "d.Txt" else 99))
+    root = f"file://{tmp_path}"
+    assert sorted(r.file_path.lstrip("/") for r in files.read_files(spark, root, Settings(max_file_bytes=50)).select("file_path").collect()) == ["a.Pdf", "b.TXT", "c.md"]
+    assert [(r.file_path.lstrip("/"), r.length) for r in files.oversize(spark, root, Settings(max_file_bytes=50)).collect()] == [("d.Txt", 99)]
+
+
+def test_field_roles():
+    roles = {f.name: set(f.metadata["roles"]) for f in index.SCHEMA}
+    has = lambda role: {n for n, r in roles.items() if role in r}
+    assert has("filter") == set(roles) - {"chunk_content", "content_vector", "file_path"}
+    assert has("sort") == {"document_title", "chunk_index", "page_number", "last_modified", "ingested_at"}
+    assert has("facet") == {"source_type", "file_name", "pii_redacted"} and has("key") == {"id"}
+    assert has("semantic_keywords") == {"source_type", "file_name", "breadcrumb"} and has("semantic_title") == {"document_title"} and has("semantic_content") == {"chunk_content"}
+
+
+def test_text_queries_find_their_chunks(spark):
+    s = Settings(dimensions=64)
+    chunks = spark.createDataFrame([(i, f"topic{i} word{i} common") for i in range(20)], "vec_id long, chunk_content string")
+    made = embed.embed(chunks, embed.HashModel(64), s)
+    queries = index.text_queries(spark.createDataFrame([(i, f"topic{i} word{i}") for i in (3, 7)], "query_id long, query_text string"), embed.HashModel(64), s)
+    assert {(r.query_id, r.id) for r in index.search(made, queries, 1, vector_col="content_vector").collect()} == {(3, 3), (7, 7)}
+
+
+def test_a_remote_model_under_a_quota():
+    waits, asked = [], []
+
+    def client(texts):
+        asked.append(len(texts))
+        if len(asked) == 1:
+            raise Busy
+        if len(asked) == 2:
+            return [(0, [1.0])], {}  # too few: asked again
+        return [(i, [float(i)]) for i in range(len(texts))], {"x-ratelimit-remaining-tokens": "10", "x-ratelimit-limit-tokens": "6000"}
+
+    model = embed.Service(client, callers=10, sleep=waits.append, size=lambda _: 20)
+    assert model.embed(["a", "b"]) == [(0, [0.0]), (1, [1.0])] and len(asked) == 3
+    before = len(waits)
+    model.embed(["a", "b"])
+    assert waits[before] == pytest.approx(0.5) and waits[-1] == pytest.approx(40 / (6000 / 10) * 60, abs=0.1)
+
+
+def test_many_matches_in_one_text(spark):
+    """A text full of matches takes no time that grows with their square in interpreted steps."""
+    import time
+
+    text = "mail a@b.cc and " * 4000
+    began = time.time()
+    r = spark.createDataFrame([(text,)], "text string").select(pii.splice(F.col("text"), pii.disjoint(pii.recognise(F.col("text"), pii.RULES[:1]))).alias("t")).first()
+    assert r.t == text.replace("a@b.cc", "[EMAIL REDACTED]") and time.time() - began < 30
 
 
 MD = """---
