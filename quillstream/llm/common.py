@@ -49,6 +49,16 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared one, which goes when the application ends."""
+    found = f"{shared_dir(spark)}/quillstream/{name}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(found)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return found
+
+
 @contextmanager
 def _tidy(spark: SparkSession):
     """Shuffle files go as soon as an eager step has written its table."""

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader
 
 from .archive_io import MANIFEST, Range, listed, manifest_of, place, ranges, write_file
-from .common import integral, prepare, shared_dir
+from .common import integral, prepare, scratch
 
 _SIGN = b"\x89PNG\r\n\x1a\n"
 
@@ -111,7 +111,7 @@ def write(docs: DataFrame, s: Settings = Settings(), folder: str | None = None,
     """Writes every row's text as a member of an archive in folder. Returns the manifest as a Table."""
     spark = docs.sparkSession
     prepare(spark)
-    folder = folder or f"{shared_dir(spark)}/quillstream/media"
+    folder = folder or scratch(spark, "media")
 
     def run(batches):
         def store():

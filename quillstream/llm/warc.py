@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader
 
 from .archive_io import MANIFEST, Range, listed, manifest_of, place, ranges, write_file
-from .common import integral, prepare, shared_dir
+from .common import integral, prepare, scratch
 
 _MAGIC = b"\x1f\x8b\x08"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -92,7 +92,7 @@ def write(pages: DataFrame, s: Settings = Settings(), folder: str | None = None)
     """
     spark = pages.sparkSession
     prepare(spark)
-    folder = folder or f"{shared_dir(spark)}/quillstream/warc"
+    folder = folder or scratch(spark, "warc")
     rows = pages.select(integral(pages, "page_id").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     rows = rows.withColumn("sha", F.sha1(F.col("html").cast("binary")))
     first = rows.where(F.octet_length("html") >= s.least).groupBy("sha").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").select(F.col("sha").alias("same"), "first")
