@@ -1,12 +1,13 @@
-"""The chunk index: a fixed schema, versions in folders behind a pointer, upserts, deletes and exact search.
+"""The chunk index: a fixed schema, runs in folders behind a pointer, upserts, deletes and exact search.
 
-A version is a Parquet folder that is written whole and then named by a small file that is renamed into place, so readers
-see the old version or the new one, and a lost executor or driver leaves the old one in place.
+A run is a Parquet folder that is written whole and then named by a small file that is renamed into place, so readers
+see the index before a write or after it, and a lost executor or driver leaves the old one in place.
 """
 
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -73,22 +74,36 @@ def cosine(a: Column, b: Column) -> Column:
     return dot(a, b) / F.nullif(F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)), F.lit(0.0))
 
 
+def nearest(pairs: DataFrame, k: int) -> DataFrame:
+    """The k best of the (query_id, id, score) of each query, with their rank; ties to 9 places go to the smaller id."""
+    order = Window.partitionBy("query_id").orderBy(F.desc_nulls_last(F.round("score", 9)), "id")
+    return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+#: the most that the vectors of a broadcast block of queries may hold, on average over blocks
+QUERY_BYTES = 32 << 20
+
+
+def query_blocks(queries: DataFrame, most: int, copies: int = 1) -> list[DataFrame]:
+    """queries in blocks of about ``most`` rows or QUERY_BYTES of vectors, whichever is less, each vector held ``copies`` times."""
+    held = queries.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("query").cast("long") * 4 * copies), F.lit(0)).alias("b")).first()
+    blocks = max(-(-held.n // most), -(-held.b // QUERY_BYTES), 1)
+    return [queries] if blocks == 1 else [queries.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == i) for i in range(blocks)]
+
+
 def search(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding", most: int = 10_000) -> DataFrame:
     """The k nearest rows of each query (query_id, query), exactly: (query_id, rank, id, score). Ties go to the smaller id.
 
-    A stated set of queries against all rows: it is counted, and broadcast only up to ``most`` queries; a larger set
-    is searched block by block. The rank filter is pushed below the shuffle, so each task sends k rows a query.
+    A stated set of queries against all rows: it is counted, and broadcast only up to ``most`` queries or QUERY_BYTES; a
+    larger set is searched block by block. The rank filter is pushed below the shuffle, so each task sends k rows a query.
     """
-    spark = vectors.sparkSession
-    n = queries.count()
-    blocks = [queries] if n <= most else [queries.where(F.pmod(F.xxhash64("query_id"), F.lit(-(-n // most))) == i) for i in range(-(-n // most))]
     out = None
-    for block in blocks:
+    for block in query_blocks(queries, most):
         score = cosine(F.col(vector_col), F.col("query"))
         pairs = vectors.select(F.col(id_col).alias("id"), vector_col).join(F.broadcast(block.select("query_id", "query"))).select("query_id", "id", score.alias("score"))
-        best = pairs.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc_nulls_last(F.round("score", 9)), "id"))).where(F.col("rank") <= k)
+        best = nearest(pairs, k)
         out = best if out is None else out.unionByName(best)
-    return out if out is not None else spark.createDataFrame([], "query_id long, id long, score double, rank int")
+    return out
 
 
 def text_queries(queries: DataFrame, model, s: Settings = Settings(), text_col: str = "query_text") -> DataFrame:
@@ -105,38 +120,91 @@ def quantise(vectors: DataFrame, vector_col: str = "embedding") -> DataFrame:
     return vectors.join(F.broadcast(ranges)).withColumn("codes", code).drop("_r")
 
 
+def _latest(runs: list[DataFrame]) -> DataFrame:
+    """The rows of runs, oldest first, without those whose document is in a later run.
+
+    Only the paths of the later runs are joined to all rows, narrow and read once more; Catalyst broadcasts them if
+    they are small. Rows without a path are replaced by none.
+    """
+    if len(runs) == 1:
+        return runs[0]
+    numbered = [r.withColumn("_run", F.lit(i)) for i, r in enumerate(runs)]
+    later = reduce(DataFrame.unionByName, [r.select("file_path", "_run") for r in numbered[1:]])
+    last = later.groupBy(F.col("file_path").alias("_path")).agg(F.max("_run").alias("_last"))
+    rows = reduce(DataFrame.unionByName, numbered)
+    return rows.join(last, (F.col("file_path") == F.col("_path")) & (F.col("_run") < F.col("_last")), "left_anti").drop("_run")
+
+
 class Store:
-    """An index in a folder of any Hadoop file system."""
+    """An index in a folder of any Hadoop file system, as runs: folders of rows, oldest first, named by a pointer file.
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    put() writes the batch alone; a document's rows are those of the last run it is in. A run that is smaller than all
+    later ones together is merged with them, so run sizes at least double from new to old: there are at most
+    log2(rows) runs, and a row is rewritten about as often. One writer at a time. What the last ``keep`` pointers do
+    not name is deleted, so a frame from read() can be used until ``keep`` writes later.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, keep: int = 3):
+        self.spark, self.root, self.keep = spark, root.rstrip("/"), keep
         self._path = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
         self._fs.mkdirs(self._path(self.root))
 
-    def state(self) -> dict:
-        """{"version": name, "batch": number} of the last complete write."""
-        found = sorted(f.getPath().getName() for f in self._fs.listStatus(self._path(self.root)) if f.getPath().getName().startswith("done-"))
-        if not found:
-            return {"version": None, "batch": -1}
-        stream = self._fs.open(self._path(f"{self.root}/{found[-1]}"))
+    def _names(self, start: str) -> list[str]:
+        return sorted(f.getPath().getName() for f in self._fs.listStatus(self._path(self.root)) if f.getPath().getName().startswith(start))
+
+    def _pointer(self, name: str) -> dict:
+        stream = self._fs.open(self._path(f"{self.root}/{name}"))
         try:
             return json.loads(bytes(stream.readAllBytes()).decode())
         finally:
             stream.close()
 
-    def read(self) -> DataFrame:
-        version = self.state()["version"]
-        return self.spark.read.schema(SCHEMA).parquet(f"{self.root}/{version}") if version else self.spark.createDataFrame([], SCHEMA)
+    def state(self) -> dict:
+        """{"runs": names, oldest first, "batch": number} of the last complete write."""
+        found = self._names("done-")
+        return self._pointer(found[-1]) if found else {"runs": [], "batch": -1}
 
-    def write(self, index: DataFrame, batch: int) -> None:
-        """A new version; a batch that is already in is left out."""
-        if batch <= self.state()["batch"]:
-            return
-        name = f"v{batch:012d}"
-        index.select(*SCHEMA.names).write.mode("overwrite").parquet(f"{self.root}/{name}")
+    def _run(self, name: str) -> DataFrame:
+        return self.spark.read.schema(SCHEMA).parquet(f"{self.root}/{name}")
+
+    def _bytes(self, name: str) -> int:
+        return self._fs.getContentSummary(self._path(f"{self.root}/{name}")).getLength()
+
+    def _save(self, rows: DataFrame, name: str) -> str:
+        rows.select(*SCHEMA.names).write.mode("overwrite").parquet(f"{self.root}/{name}")
+        return name
+
+    def _commit(self, runs: list[str], batch: int) -> None:
         new = self._path(f"{self.root}/next-{batch:012d}")
         out = self._fs.create(new, True)
-        out.write(bytearray(json.dumps({"version": name, "batch": batch}).encode()))
+        out.write(bytearray(json.dumps({"runs": runs, "batch": batch}).encode()))
         out.close()
-        self._fs.rename(new, self._path(f"{self.root}/done-{batch:012d}"))  # what makes the version the current one
+        self._fs.rename(new, self._path(f"{self.root}/done-{batch:012d}"))  # what makes the runs the current ones
+        pointers = self._names("done-")
+        named = {r for p in pointers[-self.keep :] for r in self._pointer(p)["runs"]}
+        for name in pointers[: -self.keep] + [r for r in self._names("run-") if r not in named]:
+            self._fs.delete(self._path(f"{self.root}/{name}"), True)
+
+    def read(self) -> DataFrame:
+        runs = self.state()["runs"]
+        return _latest([self._run(r) for r in runs]) if runs else self.spark.createDataFrame([], SCHEMA)
+
+    def write(self, index: DataFrame, batch: int) -> None:
+        """index in place of all that is stored; a batch that is already in is left out."""
+        if batch > self.state()["batch"]:
+            self._commit([self._save(index, f"run-{batch:012d}")], batch)
+
+    def put(self, chunks: DataFrame, batch: int) -> None:
+        """Replaces the documents of chunks, as replace() does; a batch that is already in is left out."""
+        old = self.state()
+        if batch <= old["batch"]:
+            return
+        runs = [*old["runs"], self._save(pushable(chunks), f"run-{batch:012d}")]
+        sizes, first, later = [self._bytes(r) for r in runs], len(runs) - 1, 0
+        for i in range(len(runs) - 2, -1, -1):
+            later += sizes[i + 1]
+            first = i if sizes[i] < later else first
+        if first < len(runs) - 1:
+            runs[first:] = [self._save(_latest([self._run(r) for r in runs[first:]]), f"run-{batch:012d}-merged")]
+        self._commit(runs, batch)

@@ -86,4 +86,4 @@ def dead_letters(found: DataFrame) -> DataFrame:
 
 def upsert(store: index.Store, made: DataFrame, batch: int) -> None:
     """Replaces the documents of made in the store."""
-    store.write(index.replace(store.read(), made), batch)
+    store.put(made, batch)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..config import Settings
 from ..functions import folds
 from ..functions import text as t
-from ..operators import chunking, embed, index, metadata, parse, pii
+from ..operators import ann, chunking, embed, index, metadata, parse, pii
 from ..ship import ship
 from ..sources import admission, views
 from ..sources.views import table
@@ -331,5 +331,14 @@ def q42_fold_runs(spark, d):
     return rows.select("doc_id", F.explode(folds.pack(F.col("ones"), 1 << 40, 7)).alias("r")).groupBy("doc_id").agg(F.count("*").alias("runs"), F.max("r.n").cast("long").alias("longest"))
 
 
+def q45_approx_topk(spark, d):
+    """The queries of q35 by an inverted file: every row is in a cell, and a query probes the nearest cells."""
+    rows = table(spark, d, "embeddings")
+    made = ann.fit(rows)
+    queries = rows.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    found = ann.search(ann.build(rows, made), made, queries, 5)
+    return found.select("query_id", F.col("rank").cast("long").alias("rank"), "id", F.bround("score", 5).alias("score"))
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name[:1] == "q" and name[1:3].isdigit()}

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from quillstream.config import Settings
 from quillstream.functions import folds
 from quillstream.functions import text as t
-from quillstream.operators import chunking, embed, index, metadata, parse, pii, remote
+from quillstream.operators import ann, chunking, embed, index, metadata, parse, pii, remote
 from quillstream.plans import ingest
 from quillstream.sources import admission, files
 from quillstream.streaming import runner
@@ -419,3 +419,57 @@ def test_search_over_blocks_of_queries(spark):
     queries = rows.where("vec_id < 7").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
     whole, blocks = (sorted((r.query_id, r.rank, r.id) for r in index.search(rows, queries, 3, most=m).collect()) for m in (100, 2))
     assert whole == blocks and len(whole) == 21 and all(q == i for q, r, i in whole if r == 1)
+
+
+def stored(spark, rows):
+    """Chunks as the index holds them, from (id, file_path, vector or None)."""
+    made = spark.createDataFrame(rows, "id string, file_path string, content_vector array<float>")
+    return made.select(*(F.col(f.name) if f.name in made.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in index.SCHEMA))
+
+
+def test_runs_of_the_index_equal_replacing_in_one_table(spark, tmp_path):
+    rng, store = random.Random(8), index.Store(spark, f"file://{tmp_path}/index")
+    want, earlier = {}, None
+    for batch in range(12):
+        docs = {f"d{rng.randrange(40)}": rng.randrange(1, 4) for _ in range(1 if batch % 3 else 12)}
+        blank = {p for p in docs if rng.random() < 0.3}  # their chunks have no vector, so the old ones stay
+        rows = [(f"{p}-{batch}-{i}", p, None if p in blank else [float(i)]) for p, n in docs.items() for i in range(n)]
+        store.put(stored(spark, rows), batch)
+        want |= {p: {f"{p}-{batch}-{i}" for i in range(n)} for p, n in docs.items() if p not in blank}
+        now = sorted(r.id for r in store.read().select("id").collect())
+        assert now == sorted(i for ids in want.values() for i in ids)
+        if earlier is not None:  # a frame taken before the last write can still be read
+            assert sorted(r.id for r in earlier[0].select("id").collect()) == earlier[1]
+        earlier = (store.read(), now)
+        sizes = [store._bytes(r) for r in store.state()["runs"]]
+        assert all(size >= sum(sizes[i + 1 :]) for i, size in enumerate(sizes[:-1]))
+    state = store.state()
+    store.put(stored(spark, [("x", "d1", [1.0])]), state["batch"])  # a replay
+    assert store.state() == state
+    named = {r for p in store._names("done-") for r in store._pointer(p)["runs"]}
+    assert len(store._names("done-")) == store.keep and set(store._names("run-")) == named
+    store.write(stored(spark, [("y", "d1", [1.0])]), state["batch"] + 1)
+    assert [r.id for r in store.read().collect()] == ["y"]
+
+
+def test_approximate_search_recalls_the_exact_neighbours(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    queries = rows.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    made = ann.fit(rows)
+    built = ann.build(rows, made)
+    assert built.where("cell < 0").isEmpty() and built.select("cell").distinct().count() > 20
+    exact = index.search(rows, queries, 5)
+    assert ann.recall(ann.search(built, made, queries, 5), exact) >= 0.9
+    assert ann.recall(ann.search(built, made, queries, 5, probes=len(made.centroids)), exact) == 1.0
+
+
+def test_approximate_search_of_rows_without_vectors(spark):
+    shape = "vec_id long, embedding array<float>"
+    rows = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [0.0, 0.0]), (4, [1.0]), (5, [0.9, 0.1]), (5, [0.9, 0.1]), (6, [float("nan"), 1.0])], shape)
+    made = ann.fit(rows)
+    built = ann.build(rows, made)
+    assert {r.vec_id for r in built.where("cell < 0").collect()} == {2, 3, 4, 6}
+    queries = spark.createDataFrame([(7, [1.0, 0.0]), (8, None), (9, [0.0, 0.0])], "query_id long, query array<float>")
+    assert [(r.query_id, r.rank, r.id) for r in ann.search(built, made, queries, 2).orderBy("rank").collect()] == [(7, 1, 1), (7, 2, 5)]
+    none = rows.where("false")
+    assert ann.search(ann.build(none, ann.fit(none)), ann.fit(none), queries, 2).isEmpty()
