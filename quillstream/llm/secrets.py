@@ -5,7 +5,7 @@ ids of 20 or more) and ``hex`` (runs of 24 or more). The method adds kinds that
 bytes have the right structure: ``jwt`` (a token with a decodable signature whose header is JSON with a signing
 algorithm), ``der`` (base64 or hex of an ASN.1 sequence that holds a private key's version and numbers and whose nested
 lengths fit exactly), ``ssh`` (the container of private keys, whose length-prefixed fields fit) and ``pem`` (an armoured
-private key whose body, after any header lines, decodes to such bytes). Public keys and unsigned tokens are no secrets
+private key whose body, after any header lines, decodes to such bytes; its line ends may be escaped as in JSON). Public keys and unsigned tokens are no secrets
 and are not reported. A hex run of odd length is tried without its first and without its last digit.
 
 Whole texts are scanned. A null text counts as empty: no spans. Spans are in code points, the end exclusive. A row is
@@ -33,7 +33,8 @@ _HEX = re.compile(r"[0-9a-f]{24,}")
 _BIG_HEX = re.compile(r"[0-9A-Fa-f]{48,}")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
 _JWT = re.compile(r"(?<![A-Za-z0-9_-])e[yw][A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
-_PEM = re.compile(r"-----BEGIN ([A-Z ]*PRIVATE KEY)-----((?:\s*[A-Za-z-]+:[^\n]*)*)([A-Za-z0-9+/=\s]+)-----END \1-----")
+_ARMOUR = re.compile(r"-----(BEGIN|END) ([A-Z ]*PRIVATE KEY)-----")
+_HEADER = re.compile(r"\s*[A-Za-z-]+:")
 #: Characters by what a run of them can be: d for digits and a-f, b for the rest of base64's.
 _CLASS = bytes(100 if chr(c) in "0123456789abcdef" else 98 if chr(c) in "ABCDEFGHIJKLMNOPQRSTUVWXYZghijklmnopqrstuvwxyz+/_-" else 32 for c in range(256))
 _LONG = re.compile(rb"[db]{40}")
@@ -137,6 +138,23 @@ def _confirmed(data: bytes | None) -> str | None:
     return None if not data else "der" if is_der_key(data) else "ssh" if is_ssh_key(data) else None
 
 
+def armoured(text: str) -> Iterator[tuple[int, int]]:
+    """Armoured private keys: a first line, header lines if any, a body, and the nearest last line, of the same label. Line ends
+    may be written as a backslash and n, as in JSON. Each mark is looked at once, so time is in proportion to the text."""
+    begun = None
+    for m in _ARMOUR.finditer(text):
+        if m[1] == "END" and begun and begun[2] == m[2]:
+            lines = text[begun.end() : m.start()].replace("\\r", "").replace("\\n", "\n").split("\n")
+            first = max((i + 1 for i, line in enumerate(lines) if ":" in line), default=0)
+            if all(_HEADER.match(line) or not line.strip() for line in lines[:first]):
+                body = unbase64("".join("".join(lines[first:]).split()))
+                # an older armour says in its header lines that the body is encrypted, so only whole cipher blocks can be seen
+                shut = any("ENCRYPTED" in line for line in lines[:first])
+                if _confirmed(body) or shut and body and len(body) >= 64 and len(body) % 8 == 0:
+                    yield begun.start(), m.end()
+        begun = m if m[1] == "BEGIN" else None
+
+
 def spans(text: str | None) -> list[tuple[int, int, str]]:
     """(start, end, kind), by start and then by the order of KINDS."""
     if not text:
@@ -151,11 +169,7 @@ def spans(text: str | None) -> list[tuple[int, int, str]]:
     if b"d" * 24 in runs:
         out += [(m.start(), m.end(), "hex") for m in _HEX.finditer(text)]
     if "-----BEGIN " in text:  # its lines may be shorter than any run
-        for m in _PEM.finditer(text):
-            body = unbase64("".join(m[3].split()))
-            # an older armour says in its header lines that the body is encrypted, so only whole cipher blocks can be seen
-            if _confirmed(body) or "ENCRYPTED" in m[2] and body and len(body) >= 64 and len(body) % 8 == 0:
-                out.append((m.start(), m.end(), "pem"))
+        out += [(a, b, "pem") for a, b in armoured(text)]
     if _LONG.search(runs):
         for m in _BASE64.finditer(text):
             kind = _confirmed(unbase64(m[0]))

@@ -174,6 +174,20 @@ def test_armour_with_header_lines():
     assert not any(k == "pem" for *_, k in secrets.spans(shut.replace("4,ENCRYPTED", "4,CLEAR")))
 
 
+def test_armour_of_other_line_ends_and_hostile_texts():
+    body = "\n".join(re.findall(".{1,64}", base64.b64encode(RSA).decode()))
+    key = f"-----BEGIN RSA PRIVATE KEY-----\n{body}\n-----END RSA PRIVATE KEY-----"
+    for ends in ("\n", "\r\n", "\\n", "\\r\\n", " "):
+        other = key.replace("\n", ends)
+        assert (3, 3 + len(other), "pem") in secrets.spans(f"é, {other}.")
+    begun = "-----BEGIN RSA PRIVATE KEY-----"
+    assert (len(begun), len(begun) + len(key), "pem") in secrets.spans(begun + key)
+    assert not any(k == "pem" for *_, k in secrets.spans(key.replace("END RSA", "END EC")))
+    # a search that goes back would try every way of cutting these into header lines
+    for hostile in (begun + "a:" * 5000, begun + "\n" + "A: \n" * 5000, begun + " " * 100_000, begun * 5000, "-----BEGIN " + "A " * 50_000):
+        assert secrets.spans(hostile) == []
+
+
 def slow_base(text):
     text = text or ""
     either = lambda w: "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in w)
