@@ -88,7 +88,9 @@ def write(pages: DataFrame, s: Settings = Settings(), folder: str | None = None)
     """pages: (page_id, url, html). Writes a record for each row; returns the manifest as a Table.
 
     A digest's rows meet in one join whose other side has a row for each repeated payload; a hot payload's rows are
-    split by adaptive execution, as that side is small there.
+    split by adaptive execution, as that side is small there. The manifest's rows, one an archive, are written by one
+    task: otherwise each writing task leaves a table file of a row or so, for which Hadoop's local file system starts
+    processes from the executor.
     """
     spark = pages.sparkSession
     prepare(spark)
@@ -116,7 +118,7 @@ def write(pages: DataFrame, s: Settings = Settings(), folder: str | None = None)
         if n:
             yield store()
 
-    return manifest_of(linked.mapInArrow(run, MANIFEST), "warc-manifest")
+    return manifest_of(linked.mapInArrow(run, MANIFEST).repartition(1), "warc-manifest")
 
 
 class _File:

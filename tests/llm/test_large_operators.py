@@ -303,6 +303,22 @@ def test_warc(spark, least):
     assert warc.archive(pages.limit(0), s).count() == 0
 
 
+def test_warc_manifest_is_one_file(spark):
+    """However many tasks write archives, each of which starts processes for a table file of its own."""
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    rows = [(i, f"http://h/{i}", f"page {i % 40}") for i in range(60)]
+    try:
+        for k, v in zip(held, ("7", "false", "-1")):
+            spark.conf.set(k, v)
+        made = warc.write(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert made.df.count() == 7 and made.df.agg(F.sum("members")).first()[0] == 60
+    assert len(made.df.inputFiles()) == 1
+    assert rows_of(warc.describe(warc.read(spark, manifest=made.path)), "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to") == slow_pages(rows)
+
+
 def test_false_starts(tmp_path):
     s = warc.Settings()
     inner = gzip.compress(warc.record(1, "u", b"inner", None, False, s), mtime=0)
