@@ -19,7 +19,8 @@ from ..ship import ship
 #: What a text is split at, in order of preference. The plain list has no sentence end.
 SENTENCES = ("\n\n", "\n", ". ", " ", "")
 PLAIN = ("\n\n", "\n", " ", "")
-_SHEET = r"(?md)^Sheet:\s*(.+)$"
+#: White space is listed, as that of RE2, which Java's \s exceeds by the vertical tab.
+_SHEET = r"(?md)^Sheet:[\t\n\f\r ]*(.+)$"
 
 
 def counter() -> Callable[[str], int]:
@@ -111,12 +112,18 @@ def group_texts(pages: Column, groups: Column) -> Column:
     return F.transform(groups, lambda g: F.array_join(F.transform(F.slice(pages, g.start, g.n), lambda p: p.label), "\n\n"))
 
 
-def sheets(text: Column) -> Column:
-    """array<struct<name, body>> of a workbook's text. Text before the first sheet and empty sheets are left out; without
-    sheets, the whole text is one that is named default."""
+def named_sheets(text: Column) -> Column:
+    """array<struct<name, body>> of the sheets that a workbook's text names. Text before the first and empty sheets are left out."""
     names = F.regexp_extract_all(text, F.lit(_SHEET), F.lit(1))
     bodies = F.split(text, _SHEET, -1)
-    found = F.filter(F.transform(names, lambda n, i: F.struct(strip(n).alias("name"), strip(F.get(bodies, i + 1)).alias("body"))), lambda x: x.body != "")
+    # the arrays meet by zip_with, as an array that a lambda captures would be made again for each sheet
+    both = F.zip_with(F.slice(bodies, 2, F.size(names)), names, lambda b, n: F.struct(strip(n).alias("name"), strip(b).alias("body")))
+    return F.filter(both, lambda x: x.body != "")
+
+
+def sheets(text: Column) -> Column:
+    """named_sheets, or if there are none the whole text as one that is named default."""
+    found = named_sheets(text)
     return F.when(F.size(found) > 0, found).otherwise(F.array(F.struct(F.lit("default").alias("name"), strip(text).alias("body"))))
 
 
