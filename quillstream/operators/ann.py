@@ -1,8 +1,8 @@
 """Approximate search: an inverted file of cells around centroids.
 
 The centroids, and the number of cells that a search probes, are fitted on a bounded sample (SAMPLE_BYTES); every row is
-in the index. Rows are scored where they are read: a block of queries is broadcast by cell, so a cell of any size needs
-no shuffle and no group. Rows without a usable vector (null, no length, another number of dimensions, not finite) are in
+in the index. Cells share blocks of rows, large ones are cut into several, and a query goes to the blocks of the cells that
+it probes, where nearest.dealt scores it. Rows without a usable vector (null, no length, another number of dimensions, not finite) are in
 cell -1, which no query probes, and queries without one find nothing. Scores and ties are those of index.search.
 """
 
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..ship import ship
-from .index import cosine, nearest, query_blocks
+from . import nearest
 
 SAMPLE_BYTES = 64 << 20  #: of vectors that a fit brings to the driver
 CELL_BYTES = 16 << 20  #: of centroids, which every worker holds
@@ -114,17 +114,53 @@ def build(vectors: DataFrame, made: Cells, vector_col: str = "embedding") -> Dat
     return vectors.withColumn("cell", F.coalesce(F.try_element_at(_cells_of(F.col(vector_col), made, 1), F.lit(1)), F.lit(-1)))
 
 
+def _layout(sizes: dict[int, int], cells: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first block of each cell and how many it has: small cells share one, of about ``most`` rows, and large ones are cut."""
+    first, parts, at, filled = np.zeros(cells, np.int32), np.ones(cells, np.int32), 0, 0
+    for c in range(cells):
+        n = sizes.get(c, 0)
+        if filled and filled + n > most:
+            at, filled = at + 1, 0
+        first[c], parts[c] = at, max(-(-n // most), 1)
+        at, filled = at + int(parts[c]) - 1, n if parts[c] == 1 and not filled else filled + n
+    return first, parts
+
+
+def _asked(vector: Column, made: Cells, probes: int, first: np.ndarray, parts: np.ndarray) -> Column:
+    """array<struct<block, cells>>: the blocks that have the nearest cells, and which cells those are."""
+
+    @F.pandas_udf("array<struct<block: int, cells: array<int>>>")
+    def run(cells: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for b in cells:
+            out = []
+            for near in b:
+                near = np.sort(np.asarray(near, np.int64))
+                blocks = np.concatenate([np.zeros(0, np.int64), *(first[near][parts[near] > j] + j for j in range(int(parts[near].max(initial=0))))])
+                of = np.concatenate([np.zeros(0, np.int64), *(near[parts[near] > j] for j in range(int(parts[near].max(initial=0))))])
+                order = np.argsort(blocks, kind="stable")
+                cuts = np.flatnonzero(np.diff(blocks[order])) + 1
+                out.append([{"block": int(blocks[p[0]]), "cells": of[p].astype(np.int32)} for p in np.split(order, cuts) if len(p)])
+            yield pd.Series(out, dtype=object)
+
+    return run(_cells_of(vector, made, probes))
+
+
 def search(indexed: DataFrame, made: Cells, queries: DataFrame, k: int, probes: int | None = None, id_col: str = "vec_id", vector_col: str = "embedding", most: int = 10_000) -> DataFrame:
     """(query_id, id, score, rank) of about the k nearest rows of each query (query_id, query)."""
-    ship(indexed.sparkSession)
+    spark = indexed.sparkSession
+    ship(spark)
     probes = min(probes or made.probes, len(made.centroids))
-    out = None
-    for block in query_blocks(queries, most, probes):
-        asked = block.select("query_id", "query", F.explode(_cells_of(F.col("query"), made, probes)).alias("cell"))
-        pairs = indexed.select(F.col(id_col).alias("id"), vector_col, "cell").join(F.broadcast(asked), "cell")
-        found = nearest(pairs.select("query_id", "id", cosine(F.col(vector_col), F.col("query")).alias("score")), k)
-        out = found if out is None else out.unionByName(found)
-    return out
+    sizes = {r.cell: r["count"] for r in indexed.where("cell >= 0").groupBy("cell").count().collect()}  # at most a row a cell
+    n, c = sum(sizes.values()), nearest.query_blocks(*nearest.held(queries, "query"), most)
+    first, parts = _layout(sizes, len(made.centroids), max(-(-n // nearest.row_blocks(n, 4 * n * made.dims)), 1))
+    where = spark.createDataFrame(pd.DataFrame({"cell": np.arange(len(first), dtype=np.int32), "first": first, "parts": parts}))
+    split = F.sequence(F.lit(0), F.lit(c - 1))
+    rows = indexed.select(F.col(id_col).alias("id"), F.col(vector_col).alias("vector"), "cell").join(F.broadcast(where), "cell")
+    rows = rows.withColumn("at", F.col("first") + F.pmod(F.xxhash64("id", "vector"), F.col("parts")).cast("int"))
+    rows = rows.select("id", "vector", F.array(F.col("cell").cast("int")).alias("cells"), F.explode(F.transform(split, lambda j: F.col("at") * c + j)).alias("block"))
+    asked = queries.select("query_id", "query", F.explode(_asked(F.col("query"), made, probes, first, parts)).alias("a"))
+    asked = asked.select("query_id", "query", "a.cells", (F.col("a.block") * c + F.pmod(F.xxhash64("query_id", "query"), F.lit(c))).cast("int").alias("block"))
+    return nearest.dealt(rows, asked, k, int((first + parts).max()) * c)
 
 
 def recall(found: DataFrame, exact: DataFrame) -> float:

@@ -9,12 +9,13 @@ from __future__ import annotations
 import json
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import Settings
 from ..functions.text import basename, breadcrumb
+from . import nearest
 from .embed import embed
 
 
@@ -65,45 +66,18 @@ def accounting(chunks: DataFrame) -> DataFrame:
     return chunks.agg(F.count_if(F.col("content_vector").isNotNull()).alias("success"), F.count_if(F.col("content_vector").isNull()).alias("skipped"))
 
 
-def cosine(a: Column, b: Column) -> Column:
-    """Cosine similarity in double precision; null if either has length 0."""
-
-    def dot(x: Column, y: Column) -> Column:
-        return F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda t, v: t + v)
-
-    return dot(a, b) / F.nullif(F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)), F.lit(0.0))
-
-
-def nearest(pairs: DataFrame, k: int) -> DataFrame:
-    """The k best of the (query_id, id, score) of each query, with their rank; ties to 9 places go to the smaller id."""
-    order = Window.partitionBy("query_id").orderBy(F.desc_nulls_last(F.round("score", 9)), "id")
-    return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-
-
-#: the most that the vectors of a broadcast block of queries may hold, on average over blocks
-QUERY_BYTES = 32 << 20
-
-
-def query_blocks(queries: DataFrame, most: int, copies: int = 1) -> list[DataFrame]:
-    """queries in blocks of about ``most`` rows or QUERY_BYTES of vectors, whichever is less, each vector held ``copies`` times."""
-    held = queries.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("query").cast("long") * 4 * copies), F.lit(0)).alias("b")).first()
-    blocks = max(-(-held.n // most), -(-held.b // QUERY_BYTES), 1)
-    return [queries] if blocks == 1 else [queries.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == i) for i in range(blocks)]
-
-
 def search(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding", most: int = 10_000) -> DataFrame:
-    """The k nearest rows of each query (query_id, query), exactly: (query_id, rank, id, score). Ties go to the smaller id.
+    """The k nearest rows of each query (query_id, query), exactly: (query_id, id, score, rank). Ties to 9 places go to the smaller id.
 
-    A stated set of queries against all rows: it is counted, and broadcast only up to ``most`` queries or QUERY_BYTES; a
-    larger set is searched block by block. The rank filter is pushed below the shuffle, so each task sends k rows a query.
+    The score is the cosine similarity in double precision: null if a vector is missing or has length 0, which ranks last.
+    Rows and queries are dealt into blocks, of at most about ``most`` queries, and each block of rows meets each of queries.
     """
-    out = None
-    for block in query_blocks(queries, most):
-        score = cosine(F.col(vector_col), F.col("query"))
-        pairs = vectors.select(F.col(id_col).alias("id"), vector_col).join(F.broadcast(block.select("query_id", "query"))).select("query_id", "id", score.alias("score"))
-        best = nearest(pairs, k)
-        out = best if out is None else out.unionByName(best)
-    return out
+    r, c = nearest.row_blocks(*nearest.held(vectors, vector_col)), nearest.query_blocks(*nearest.held(queries, "query"), most)
+    rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).alias("vector"), F.lit(None).cast("array<int>").alias("cells"))
+    rows = rows.withColumn("block", F.explode(F.transform(F.sequence(F.lit(0), F.lit(c - 1)), lambda j: j + c * F.pmod(F.xxhash64("id", "vector"), F.lit(r)).cast("int"))))
+    asked = queries.select("query_id", "query", F.lit(None).cast("array<int>").alias("cells"))
+    asked = asked.withColumn("block", F.explode(F.transform(F.sequence(F.lit(0), F.lit(r - 1)), lambda i: i * c + F.pmod(F.xxhash64("query_id", "query"), F.lit(c)).cast("int"))))
+    return nearest.dealt(rows, asked, k, r * c)
 
 
 def text_queries(queries: DataFrame, model, s: Settings = Settings(), text_col: str = "query_text") -> DataFrame:
