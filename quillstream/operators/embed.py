@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import time
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -26,21 +25,6 @@ def sanitise(text: Column) -> Column:
     return F.coalesce(F.nullif(text, F.lit("")), F.lit(EMPTY))
 
 
-def truncate(text: Column, tokens: int) -> Column:
-    """A text's first tokens. Workers see only texts that have more."""
-
-    @F.pandas_udf("string")
-    def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        import regex
-
-        found = regex.compile(TOKEN)
-        for texts in batches:
-            yield pd.Series([None if t is None else t[: [m.end() for _, m in zip(range(tokens), found.finditer(t))][-1]] for t in texts], dtype="object")
-
-    over = token_count(text) > tokens
-    return F.coalesce(cut(F.when(over, text)), text)
-
-
 def batches(sizes: Column, s: Settings = Settings()) -> Column:
     """Runs of a document's chunks that go to the model together."""
     return folds.pack(sizes, s.embed_batch_tokens, s.embed_batch, alone=True)
@@ -54,10 +38,12 @@ def _hashed(word: str, dimensions: int) -> tuple[int, int]:
 
 def hash_vector(text: str, dimensions: int) -> np.ndarray:
     """A unit vector from hashed words: equal texts get equal vectors, texts that share words are near."""
-    out = np.zeros(dimensions, np.float64)
-    for word, n in Counter(text.lower().split()).items():
+    # sums of whole numbers, exact in any order
+    sums = [0.0] * dimensions
+    for word in text.lower().split():
         place, sign = _hashed(word, dimensions)
-        out[place] += sign * n
+        sums[place] += sign
+    out = np.array(sums)
     norm = np.sqrt(out.dot(out))
     return (out / norm if norm else out).astype(np.float32)
 
@@ -69,7 +55,7 @@ class HashModel:
         self.dimensions = dimensions
 
     def embed(self, texts: list[str]) -> list[tuple[int, list[float]]]:
-        return [(i, hash_vector(t, self.dimensions).tolist()) for i, t in enumerate(texts)]
+        return [(i, hash_vector(t, self.dimensions)) for i, t in enumerate(texts)]
 
 
 class Service:
@@ -111,20 +97,27 @@ def embed(chunks: DataFrame, model=None, s: Settings = Settings(), text_col: str
     ship(chunks.sparkSession)
     most, limit = s.embed_batch, s.embed_batch_tokens
 
-    @F.pandas_udf("array<float>")
-    def run(batches_: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    @F.pandas_udf("struct<cut: string, vector: array<float>>")
+    def run(batches_: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        import regex
+
+        found = regex.compile(TOKEN)
         for texts, tokens in batches_:
-            out: list = [None] * len(texts)
-            for a, b in spans(tokens.tolist(), limit, most):
+            cuts = [t[: [m.end() for _, m in zip(range(s.embed_input_tokens), found.finditer(t))][-1]] if n > s.embed_input_tokens else None for t, n in zip(texts, tokens)]
+            inputs = [t if c is None else c for t, c in zip(texts, cuts)]
+            out: list = [None] * len(inputs)
+            for a, b in spans([min(n, s.embed_input_tokens) for n in tokens.tolist()], limit, most):
                 try:
-                    for i, v in sorted(answered(model.embed(texts[a:b].tolist()), b - a)):
+                    for i, v in sorted(answered(model.embed(inputs[a:b]), b - a)):
                         out[a + i] = v
                 except Exception:  # noqa: BLE001 - a batch that fails for good leaves null vectors
                     out[a:b] = [None] * (b - a)
-            yield pd.Series(out, dtype="object")
+            yield pd.DataFrame({"cut": pd.Series(cuts, dtype="object"), "vector": pd.Series(out, dtype="object")})
 
-    rows = chunks.withColumn(text_col, truncate(sanitise(F.col(text_col)), s.embed_input_tokens))
-    return rows.withColumn("content_vector", run(F.col(text_col), token_count(F.col(text_col))))
+    # tokens are counted once, and one worker cuts and embeds; nondeterministic, so that the optimizer does not copy the call
+    rows = chunks.withColumn(text_col, sanitise(F.col(text_col)))
+    rows = rows.withColumn("_e", run.asNondeterministic()(F.col(text_col), token_count(F.col(text_col))))
+    return rows.withColumns({text_col: F.coalesce("_e.cut", text_col), "content_vector": F.col("_e.vector")}).drop("_e")
 
 
 def answered(vectors: list[tuple[int, list[float]]], n: int) -> list[tuple[int, list[float]]]:

@@ -6,7 +6,8 @@ import random
 import numpy as np
 import pytest
 
-from quillstream.operators import ann, index, nearest
+from quillstream.config import Settings
+from quillstream.operators import ann, embed, index, nearest
 
 
 def loop(rows, queries, k):
@@ -59,3 +60,11 @@ def test_cells_of_any_size_are_laid_out_in_blocks():
         for j in range(parts[c]):
             rows[first[c] + j] = rows.get(first[c] + j, 0) + n / parts[c]
     assert max(rows.values()) <= 10 and parts.tolist() == [1, 1, 10, 1, 1, 1]
+
+
+def test_one_worker_cuts_and_embeds(spark):
+    s = Settings(dimensions=8, embed_input_tokens=3)
+    made = embed.embed(spark.createDataFrame([(1, "a b c d e"), (2, "a b c"), (3, None)], "i int, chunk_content string"), None, s)
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+    got = {r.i: (r.chunk_content, r.content_vector) for r in made.collect()}
+    assert got[1] == got[2] and got[1][0] == "a b c" and got[3][0] == "[empty]"
