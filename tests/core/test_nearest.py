@@ -8,6 +8,7 @@ import pytest
 
 from quillstream.config import Settings
 from quillstream.operators import ann, embed, index, nearest
+from quillstream.plans.queries import q41_ingest_chunks
 
 
 def loop(rows, queries, k):
@@ -68,3 +69,9 @@ def test_one_worker_cuts_and_embeds(spark):
     assert made._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
     got = {r.i: (r.chunk_content, r.content_vector) for r in made.collect()}
     assert got[1] == got[2] and got[1][0] == "a b c" and got[3][0] == "[empty]"
+
+
+def test_batches_of_python_stages_are_bounded(spark):
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    q41_ingest_chunks(spark, "/root/testdata/sf0.001")
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 400
